@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from staylytics.operators.quantiles import quantile_table
 
@@ -97,10 +98,17 @@ def correlations(
 
 
 def top_correlations(corr: DataFrame, k: int = 10) -> DataFrame:
-    """The ``k`` highest and the ``k`` lowest correlations, tagged by side."""
-    high = corr.orderBy(F.desc("correlation"), "column").limit(k).withColumn("side", F.lit("positive"))
-    low = corr.orderBy("correlation", "column").limit(k).withColumn("side", F.lit("negative"))
-    return high.unionByName(low)
+    """The ``k`` highest and the ``k`` lowest correlations, tagged by side.
+
+    ``corr`` has one row per column, so ranking it twice in one task is cheap, and
+    the aggregation behind it runs once.
+    """
+    high = F.row_number().over(Window.orderBy(F.desc("correlation"), "column"))
+    low = F.row_number().over(Window.orderBy("correlation", "column"))
+    ranked = corr.withColumns({"__high": high, "__low": low})
+    sides = F.array(F.when(F.col("__high") <= k, "positive"), F.when(F.col("__low") <= k, "negative"))
+    tagged = ranked.withColumn("side", F.explode(F.array_compact(sides)))
+    return tagged.select("column", "correlation", "side").orderBy(F.desc("side"), F.desc("correlation"), "column")
 
 
 def category_summary(df: DataFrame, by: str, value: str, top: int | None = None) -> DataFrame:

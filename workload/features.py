@@ -11,7 +11,7 @@ from staylytics.operators import features as ops
 from staylytics.operators import geo
 from staylytics.plans import prepare
 from staylytics.sources import centers_table
-from workload.adapters import REQUESTS_SQL, listings, requests
+from workload.adapters import REQUESTS_SQL, listings, requests, stage
 from workload.clean import WITH_L, WITH_PRICED
 from workload.registry import query, rounded, rounded_sql, table
 
@@ -23,7 +23,8 @@ def priced(spark, sf_dir):
 
 
 def engineered(spark, sf_dir):
-    return prepare.features(priced(spark, sf_dir), AS_OF)
+    """The stored feature table that profiling and models read."""
+    return stage(spark, sf_dir, "engineered", lambda: prepare.features(priced(spark, sf_dir), AS_OF))
 
 
 # --- the same expressions in SQL --------------------------------------------------
@@ -158,7 +159,7 @@ ENGINEERED_SQL = f"{WITH_PRICED} select {', '.join(_TEXT_COLUMNS + _OTHER_TEXT)}
 
 @query(rounded_sql(ENGINEERED_SQL, _DOUBLES))
 def engineered_features(spark, sf_dir):
-    return rounded(engineered(spark, sf_dir))
+    return rounded(prepare.features(priced(spark, sf_dir), AS_OF))
 
 
 # --- geography ----------------------------------------------------------------------

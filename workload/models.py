@@ -1 +1,145 @@
+"""Fitted models. Rows only: SQL cannot state a model, except the one-feature line.
 
+Trees here are small (10 of depth 4); the package default is 100 of depth 8.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from staylytics.operators import evaluate, explain, models, results, selection
+from staylytics.operators.split import hash_split
+from staylytics.plans import train
+from staylytics.sources import scratch_path
+from workload.adapters import requests, stage
+from workload.features import engineered
+from workload.registry import query, rounded, rounded_sql, table
+
+SMALL = {"depth": 4, "iters": 10}
+_fitted: dict[tuple, object] = {}
+
+
+def _once(spark, sf_dir, name, build):
+    """A model is trained once per application and used by several queries."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _fitted:
+        _fitted[key] = build()
+    return _fitted[key]
+
+
+def chosen(spark, sf_dir):
+    df = engineered(spark, sf_dir)
+    return _once(spark, sf_dir, "features", lambda: (train.baseline_features(df), train.gbt_features(df)))
+
+
+def training(spark, sf_dir):
+    base, gbt = chosen(spark, sf_dir)
+    df = engineered(spark, sf_dir)
+    return stage(spark, sf_dir, "training", lambda: train.training_table(df, [*base.all, *gbt.all]))
+
+
+def linear(spark, sf_dir):
+    base, _ = chosen(spark, sf_dir)
+    return _once(spark, sf_dir, "linear", lambda: train.train_baseline(training(spark, sf_dir), base))
+
+
+def trees(spark, sf_dir):
+    _, gbt = chosen(spark, sf_dir)
+    return _once(spark, sf_dir, "gbt", lambda: train.train_gbt(training(spark, sf_dir), gbt, **SMALL))
+
+
+def _by_split(model, df):
+    return rounded(evaluate.regression_metrics(models.score(model, df), "price_clean", {"model": "prediction"}, ["split"]))
+
+
+@query()
+def linear_model_metrics(spark, sf_dir):
+    return _by_split(linear(spark, sf_dir), training(spark, sf_dir))
+
+
+@query()
+def gbt_model_metrics(spark, sf_dir):
+    return _by_split(trees(spark, sf_dir), training(spark, sf_dir))
+
+
+@query()
+def trained_model_comparison(spark, sf_dir):
+    fitted = {"baseline_pred": linear(spark, sf_dir), "gbt_pred": trees(spark, sf_dir)}
+    scored = models.score_all(fitted, training(spark, sf_dir)).where("split = 'test'")
+    return rounded(evaluate.comparison(evaluate.regression_metrics(scored, "price_clean", train.PREDS)))
+
+
+@query(
+    rounded_sql(
+        """with t as (select *, concat('0x', substr(md5(concat('42|', o_orderkey)), 1, 8))::ubigint % 100 < 80 as train from orders),
+f as (select regr_slope(o_totalprice, o_custkey) as a, regr_intercept(o_totalprice, o_custkey) as b from t where train)
+select o_orderkey, o_totalprice, a * o_custkey + b as prediction from t, f where not train""",
+        ["o_totalprice", "prediction"],
+        3,
+    )
+)
+def one_feature_line(spark, sf_dir):
+    """Total price by customer number: the fitted line against the closed form."""
+    orders = hash_split(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), "o_orderkey")
+    model = models.fit(models.linear_pipeline(["o_custkey"], target="o_totalprice"), orders)
+    return rounded(models.score(model, orders.where("split = 'test'")).drop("split", "o_custkey"), 3)
+
+
+@query()
+def coefficient_ranking(spark, sf_dir):
+    table_of = models.coefficients(linear(spark, sf_dir))
+    selection.assert_no_leak(r["feature"] for r in table_of.select("feature").collect())
+    return rounded(results.top_k(table_of, "coefficient", 10, absolute=True, then="feature"))
+
+
+@query()
+def importance_ranking(spark, sf_dir):
+    return rounded(results.top_k(models.importances(trees(spark, sf_dir)), "importance", 15, then="feature"))
+
+
+@query()
+def tree_attribution(spark, sf_dir):
+    """Every contribution of every test row."""
+    test = training(spark, sf_dir).where("split = 'test'")
+    found = explain.tree_attributions(trees(spark, sf_dir), test, "id")
+    return rounded(found.select("id", "prediction", "base_value", F.inline("attributions")))
+
+
+@query()
+def tree_attribution_importance(spark, sf_dir):
+    test = training(spark, sf_dir).where("split = 'test'")
+    return rounded(explain.attribution_importance(explain.tree_attributions(trees(spark, sf_dir), test, "id")))
+
+
+@query()
+def fitted_linear_attribution(spark, sf_dir):
+    test = training(spark, sf_dir).where("split = 'test'")
+    found = explain.linear_attributions(linear(spark, sf_dir), test, "id")
+    return rounded(found.select("id", "prediction", "base_value", F.inline("attributions")))
+
+
+@query()
+def tree_partial_dependence(spark, sf_dir):
+    test = training(spark, sf_dir).where("split = 'test'")
+    return rounded(explain.partial_dependence(trees(spark, sf_dir), test, "distance_to_center"))
+
+
+QUOTE_FEATURES = ["accommodates", "bedrooms", "bathrooms_numeric", "number_of_reviews", "distance_to_center", "has_wifi",
+                  "has_kitchen", "has_ac", "has_parking", "has_pool", "has_gym", "host_is_superhost_binary"]
+
+
+def _quote_model(spark, sf_dir):
+    df = hash_split(engineered(spark, sf_dir), "id")
+    return models.fit(models.gbt_pipeline(QUOTE_FEATURES, ["city", "room_type"], **SMALL), df)
+
+
+@query()
+def model_quote(spark, sf_dir):
+    """Requests priced by a model that was saved and loaded again."""
+    path = scratch_path(spark, "model")
+    models.save(_once(spark, sf_dir, "quote", lambda: _quote_model(spark, sf_dir)), path)
+    asked = requests(spark, sf_dir).withColumnsRenamed(
+        {"bathrooms": "bathrooms_numeric", "host_is_superhost": "host_is_superhost_binary"}
+    )
+    priced = models.score(models.load(path), asked, "predicted_price")
+    return rounded(priced.select("request_id", "city", "room_type", "predicted_price"))

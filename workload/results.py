@@ -1 +1,94 @@
+"""Result tables: groups, rankings, key figures, encodings, files."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from staylytics.functions import pretty
+from staylytics.operators import models, results
+from staylytics.sources import read_listings, read_table, scratch_path, write_table
+from workload.adapters import listings
+from workload.clean import WITH_L
+from workload.evaluate import _MEASURES, PREDS, WITH_SCORED, _metrics, metrics_sql, scored
+from workload.profile import FEATURE_CORR_SQL, feature_correlations
+from workload.registry import query, rounded, rounded_sql
+
+_STRENGTH = f"select \"column\" as feature, abs(correlation) as importance from ({FEATURE_CORR_SQL})"
+
+
+def strengths(spark, sf_dir):
+    """Importance of every engineered feature as the size of its correlation with price."""
+    corr = feature_correlations(spark, sf_dir)
+    return corr.select(F.col("column").alias("feature"), F.abs("correlation").alias("importance"))
+
+
+_CATEGORY = """case when regexp_matches(feature, 'host|superhost') then 'Host Quality' when regexp_matches(feature, 'review|rating') then 'Review Metrics'
+when regexp_matches(feature, 'amenity|wifi|kitchen') then 'Amenities' when regexp_matches(feature, 'bedroom|bathroom|accommodate') then 'Property Size'
+when regexp_matches(feature, 'distance|city|location') then 'Location' else 'Other' end"""
+
+
+@query(
+    rounded_sql(
+        f"select {_CATEGORY} as category, sum(importance) as sum, avg(importance) as mean, count(*) as count from ({_STRENGTH}) group by 1",
+        ["sum", "mean"],
+    )
+)
+def importance_by_category(spark, sf_dir):
+    return rounded(results.importance_by_category(strengths(spark, sf_dir)))
+
+
+@query(
+    rounded_sql(
+        f"""select feature, array_to_string(list_transform(string_split(feature, '_'), lambda w: upper(w[1]) || w[2:]), ' ') as label, importance
+from ({_STRENGTH}) order by importance desc, feature limit 15""",
+        ["importance"],
+    )
+)
+def top_features(spark, sf_dir):
+    best = results.top_k(strengths(spark, sf_dir), "importance", 15, then="feature")
+    return rounded(best.select("feature", pretty("feature").alias("label"), "importance"))
+
+
+@query(
+    f"{WITH_SCORED} select (select count(*) from ({_STRENGTH})) as features, count(distinct city) as cities from (select city from s group by city)"
+)
+def key_figures(spark, sf_dir):
+    cities = scored(spark, sf_dir).groupBy("city").agg(F.count(F.lit(1)).alias("count"))
+    return results.kpis(strengths(spark, sf_dir), cities)
+
+
+_CODED = ["city", "property_type", "host_is_superhost"]
+
+
+@query(
+    f"{WITH_L} select id, "
+    + ", ".join(f"cast(dense_rank() over (order by coalesce({c}, 'missing')) - 1 as int) as {c}" for c in _CODED)
+    + " from l"
+)
+def alphabetical_encoding(spark, sf_dir):
+    return models.encode_alphabetical(listings(spark, sf_dir).select("id", *_CODED), _CODED)
+
+
+@query(rounded_sql(f"{WITH_L} select * from l", ["latitude", "longitude"]))
+def csv_round_trip(spark, sf_dir):
+    """Listings written as CSV, quotes and nulls included, and read back as text."""
+    path = scratch_path(spark, "csv")
+    write_table(listings(spark, sf_dir), path, "csv")
+    back = read_listings(spark, path)
+    typed = {"id": F.col("id").cast("bigint"), "latitude": F.col("latitude").cast("double"), "longitude": F.col("longitude").cast("double")}
+    return rounded(back.withColumns(typed))
+
+
+_LONG = " union all ".join(
+    f"select 'formulas' as run, model, cast(null as varchar) as split, cast(null as varchar) as segment, '{m}' as metric, {m}::double as value from m"
+    for m in [*_MEASURES, "n_samples"]
+)
+
+
+@query(rounded_sql(f"{WITH_SCORED}, m as ({metrics_sql('s', 'price_clean', PREDS)}) {_LONG}", ["value"]))
+def metrics_sink(spark, sf_dir):
+    """Metrics in the long form, through a single JSON file and back."""
+    path = scratch_path(spark, "metrics")
+    long = results.metrics_long(_metrics(spark, sf_dir), "formulas")
+    write_table(long, path, "json", single_file=True)
+    return rounded(read_table(spark, path, "json", schema=results.METRIC_SCHEMA))
