@@ -83,9 +83,8 @@ def target_summary(df: DataFrame, col: str, exact: bool = True, accuracy: int =
 
 def pearson(x: Column, y: Column) -> Column:
     """Correlation over rows where both are present; null where either is constant."""
-    both = x.isNotNull() & y.isNotNull()
-    a, b = F.when(both, x.cast("double")), F.when(both, y.cast("double"))
-    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+    return F.try_divide(F.covar_pop(x, y), spread)
 
 
 def correlations(

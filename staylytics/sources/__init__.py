@@ -1,6 +1,6 @@
 """Readers, writers and the shared staging folder."""
 
-from staylytics.sources.staging import materialize, scratch_path
+from staylytics.sources.staging import drop_staged, materialize, scratch_path
 from staylytics.sources.tables import (
     centers_table,
     literal_table,
@@ -13,6 +13,7 @@ from staylytics.sources.tables import (
 
 __all__ = [
     "centers_table",
+    "drop_staged",
     "literal_table",
     "materialize",
     "path_exists",

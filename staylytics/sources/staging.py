@@ -29,10 +29,13 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_root[app]
 
 
+def _app_root(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/staylytics/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path in the shared folder."""
-    app = spark.sparkContext.applicationId
-    return f"{scratch_root(spark)}/staylytics/{app}/{name}-{uuid.uuid4().hex}"
+    return f"{_app_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -41,3 +44,9 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete this application's staged tables; call when no DataFrame built on them is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_app_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
