@@ -6,6 +6,9 @@ off: text that is no number gives null, never an error.
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -84,11 +87,17 @@ def keyword_flag(col: Column | str, pattern: str, word_boundary: bool = False) -
     """1 when the lower-cased list text matches ``pattern`` anywhere, else 0.
 
     By default a match inside a longer word counts (``ac`` matches ``backyard``);
-    ``word_boundary`` asks for whole words.
+    ``word_boundary`` asks for whole words. A pattern that is only plain words
+    joined by ``|`` is searched as text, which is much cheaper than a regex.
     """
+    text = F.lower(list_text(col))
     if word_boundary:
-        pattern = rf"\b(?:{pattern})\b"
-    return F.when(F.lower(list_text(col)).rlike(pattern), 1).otherwise(0)
+        hit = text.rlike(rf"\b(?:{pattern})\b")
+    elif re.fullmatch(r"[\w /|-]+", pattern, re.ASCII):
+        hit = reduce(lambda a, b: a | b, [text.contains(word) for word in pattern.split("|")])
+    else:
+        hit = text.rlike(pattern)
+    return F.when(hit, 1).otherwise(0)
 
 
 def text_length(col: Column | str) -> Column:

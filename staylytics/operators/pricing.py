@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from staylytics import constants as K
 from staylytics.functions.shape import band
 from staylytics.operators.geo import nearest_in_group
+from staylytics.sources.staging import materialize
 
 
 def _table_value(col: Column, table: Mapping[str, float]) -> Column:
@@ -28,7 +29,8 @@ def quote(
     """Add the price, its interval, market band and components to each request.
 
     ``base_prices`` (``city, avg_price``) overrides the fixed base prices by city.
-    An unknown room type gives a null price. The raw interval ends can be in
+    The override is stored first, so its true size (a row per city) picks the join
+    and the requests stay where they are. An unknown room type gives a null price. The raw interval ends can be in
     reverse order; ``confidence_low/high`` are the ordered pair.
     """
     rules = K.QUOTE_RULES if rules is None else rules
@@ -37,6 +39,7 @@ def quote(
     df, cols = requests, requests.columns
     if base_prices is not None:
         side = base_prices.select(F.col("city").alias("__city"), F.col("avg_price").alias("__avg"))
+        side = materialize(side, "base-prices")
         df = df.join(side, df["city"] == F.col("__city"), "left")
         base = F.coalesce(F.col("__avg"), base)
 

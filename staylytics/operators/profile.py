@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -81,19 +81,25 @@ def target_summary(df: DataFrame, col: str, exact: bool = True, accuracy: int =
     return base.withColumns({c: q.select(c).scalar() for c in q.columns})
 
 
-def pearson(x: Column, y: Column) -> Column:
-    """Correlation over rows where both are present; null where either is constant."""
-    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
-    return F.try_divide(F.covar_pop(x, y), spread)
-
-
 def correlations(
     df: DataFrame, target: str, cols: Sequence[str] | None = None, limit: int | None = 30
 ) -> DataFrame:
-    """Correlation of ``target`` with each numeric column, all from one scan; undefined ones left out."""
+    """Correlation of ``target`` with each numeric column, all from one scan; undefined ones left out.
+
+    Pairs with a missing side do not count, and a constant column has no
+    correlation. Each row becomes one (column, value) pair per column and each task
+    folds them into one partial result per column: unlike one aggregate per column
+    side by side, the generated code does not grow with the number of columns.
+    """
     names = [c for c in (numeric_columns(df) if cols is None else cols) if c != target][:limit]
-    one = df.agg(*[pearson(F.col(target), F.col(c)).alias(f"r{i}") for i, c in enumerate(names)])
-    return _long(one, names, {"correlation": "r"}).where("correlation is not null")
+    values = F.array(*[F.col(c).cast("double") for c in names])
+    pairs = df.select(F.col(target).cast("double").alias("t"), F.posexplode(values).alias("i", "x"))
+    spread = F.stddev_pop("t") * F.stddev_pop("x")
+    found = pairs.where("t is not null and x is not null").groupBy("i").agg(
+        F.try_divide(F.covar_pop("t", "x"), spread).alias("correlation")
+    )
+    label = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("i") + 1)
+    return found.where("correlation is not null").select(label.alias("column"), "correlation")
 
 
 def top_correlations(corr: DataFrame, k: int = 10) -> DataFrame:

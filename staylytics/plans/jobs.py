@@ -56,6 +56,11 @@ def fit(spark: SparkSession, out: str, **gbt_params) -> None:
     linear, trees = train.train_baseline(table, base), train.train_gbt(table, gbt, **gbt_params)
     models.save(linear, f"{out}/models/baseline")
     models.save(trees, f"{out}/models/gbt")
+    counts = [
+        {"run": "trained", "model": name, "metric": "feature_count", "value": float(len(chosen.all))}
+        for name, chosen in (("baseline", base), ("gbt", gbt))
+    ]
+    _write_report(results.metrics_table(spark, counts), f"{out}/models/feature_counts")
     _write_report(models.coefficients(linear), f"{out}/models/baseline_importance")
     ranked = models.importances(trees).orderBy(F.desc("importance"), "feature")
     _write_report(ranked, f"{out}/models/gbt_importance")

@@ -12,7 +12,7 @@ from staylytics.operators.split import hash_split
 from staylytics.plans import train
 from staylytics.sources import scratch_path
 from workload.adapters import requests, stage
-from workload.features import engineered
+from workload.features import ENGINEERED_SQL, engineered
 from workload.registry import query, rounded, rounded_sql, table
 
 SMALL = {"depth": 4, "iters": 10}
@@ -48,10 +48,40 @@ def trees(spark, sf_dir):
     return _once(spark, sf_dir, "gbt", lambda: train.train_gbt(training(spark, sf_dir), gbt, **SMALL))
 
 
+def trees_inputs(spark, sf_dir):
+    return chosen(spark, sf_dir)[1].all
+
+
 def _by_split(model, df):
     return rounded(evaluate.regression_metrics(models.score(model, df), "price_clean", {"model": "prediction"}, ["split"]))
 
 
+_TRIMMED = f"""with e as ({ENGINEERED_SQL}),
+q as (select quantile_disc(price_clean, 0.01) lo, quantile_disc(price_clean, 0.99) hi from e),
+t as (select id, price_clean, case when concat('0x', substr(md5(concat('42|', id)), 1, 8))::ubigint % 100 < 80 then 'train' else 'test' end as split
+      from e, q where price_clean between lo and hi)"""
+
+
+@query(rounded_sql(f"{_TRIMMED} select * from t", ["price_clean"]))
+def training_rows(spark, sf_dir):
+    """Rows the models see, and on which side of the split."""
+    return rounded(training(spark, sf_dir).select("id", "price_clean", "split"))
+
+
+@query(f"{_TRIMMED} select id, true as linear_adds_up, true as trees_add_up from t where split = 'test'")
+def attributions_add_up(spark, sf_dir):
+    """For every test row: contributions plus base give the model's own prediction."""
+    test = training(spark, sf_dir).where("split = 'test'")
+    scored = models.score_all({"p_linear": linear(spark, sf_dir), "p_trees": trees(spark, sf_dir)}, test)
+    by_line = explain.linear_attributions(linear(spark, sf_dir), scored, "id", ["p_linear", "p_trees", *trees_inputs(spark, sf_dir)])
+    total = F.aggregate("attributions", F.col("base_value"), lambda s, a: s + a["contribution"])
+    checked = by_line.withColumn("linear_adds_up", F.abs(total - F.col("p_linear")) < 1e-6).drop(
+        "prediction", "base_value", "attributions"
+    )
+    by_tree = explain.tree_attributions(trees(spark, sf_dir), checked, "id", ["p_trees", "linear_adds_up"])
+    return by_tree.select("id", "linear_adds_up", (F.abs(total - F.col("p_trees")) < 1e-6).alias("trees_add_up"))
+
+
 @query()
 def linear_model_metrics(spark, sf_dir):
     return _by_split(linear(spark, sf_dir), training(spark, sf_dir))
