@@ -63,8 +63,11 @@ def quantile_trim(
 
 def _within(df: DataFrame, value: str, bounds: DataFrame, by: Sequence[str]) -> DataFrame:
     if not by:
-        lo, hi = bounds.select("__lo").scalar(), bounds.select("__hi").scalar()
-        return df.where((F.col(value) >= lo) & (F.col(value) <= hi))
+        # one stored row: as literals the bounds are pushed into the scan
+        row = bounds.select("__lo", "__hi").first()
+        if row is None or row["__lo"] is None:
+            return df.where(F.lit(False))
+        return df.where((F.col(value) >= F.lit(row["__lo"])) & (F.col(value) <= F.lit(row["__hi"])))
     kept = attach(df, bounds, list(by)).where((F.col(value) >= F.col("__lo")) & (F.col(value) <= F.col("__hi")))
     return kept.drop("__lo", "__hi")
 
