@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -24,15 +24,16 @@ def interpret(
     positions: Sequence[int] = POSITIONS,
     top: int = 20,
     curves: int = 6,
+    store: Callable[[DataFrame, str], DataFrame] = materialize,
 ) -> dict[str, DataFrame]:
     """Attributions, importances, local explanations, dependence curves and the model comparison.
 
-    Attributions cover every test row. They are stored once, since several reports
-    read them; curves use the ``curves`` strongest features of the tree model.
+    Attributions cover every test row. ``store`` writes them once, since several
+    reports read them; curves use the ``curves`` strongest features of the tree model.
     """
     rows = table.where("split = 'test'") if "split" in table.columns else table
-    by_line = materialize(explain.linear_attributions(linear, rows, key, [target]), "linear-attributions")
-    by_tree = materialize(explain.tree_attributions(trees, rows, key, [target]), "tree-attributions")
+    by_line = store(explain.linear_attributions(linear, rows, key, [target]), "linear_attributions")
+    by_tree = store(explain.tree_attributions(trees, rows, key, [target]), "tree_attributions")
     line_rank, tree_rank = explain.attribution_importance(by_line), explain.attribution_importance(by_tree)
     out = {
         "linear_attributions": by_line,

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from staylytics import constants as K
 from staylytics.operators import models, pricing, results
+from staylytics.operators.cleaning import keep_rate
 from staylytics.plans import explore, interpret, prepare, train
 from staylytics.sources import read_sources, read_table, write_table
 
@@ -28,13 +29,15 @@ def clean(spark: SparkSession, raw: str, out: str, cities: Sequence[str] = K.LOO
     """``<raw>/<city>/listings.csv`` of every city that has one to the unified, cleaned table."""
     paths = {c: f"{raw}/{c}/listings.csv" for c in cities}
     sources = read_sources(spark, paths, "csv", on_missing="skip", multi_line=multi_line)
-    kept, rates = prepare.clean_sources(sources)
-    write_table(kept, f"{out}/unified", partition_by=["city"])
-    _write_report(rates, f"{out}/reports/keep_rate")
+    combined = prepare.combine_sources(sources)
+    write_table(prepare.clean_sources(combined), f"{out}/unified", partition_by=["source"])
+    kept = read_table(spark, f"{out}/unified")
+    _write_report(keep_rate(combined, kept, ["source"]), f"{out}/reports/keep_rate")
 
 
 def features(spark: SparkSession, out: str, as_of: str | None = None) -> None:
-    write_table(prepare.features(read_table(spark, f"{out}/unified"), as_of), f"{out}/features")
+    unified = read_table(spark, f"{out}/unified").drop("source")
+    write_table(prepare.features(unified, as_of), f"{out}/features")
 
 
 def lookup(spark: SparkSession, out: str) -> None:
@@ -50,8 +53,8 @@ def fit(spark: SparkSession, out: str, **gbt_params) -> None:
     """Train both models on one split and store models, importances and the training table."""
     df = read_table(spark, f"{out}/features")
     base, gbt = train.baseline_features(df), train.gbt_features(df)
-    table = train.training_table(df, [*base.all, *gbt.all])
-    write_table(table, f"{out}/training")
+    rows = train.training_rows(df, [*base.all, *gbt.all])
+    write_table(rows, f"{out}/training", partition_by=["split"])
     table = read_table(spark, f"{out}/training")
     linear, trees = train.train_baseline(table, base), train.train_gbt(table, gbt, **gbt_params)
     models.save(linear, f"{out}/models/baseline")
@@ -78,10 +81,14 @@ def evaluate(spark: SparkSession, out: str) -> None:
 
 def explain(spark: SparkSession, out: str) -> None:
     fitted = [models.load(f"{out}/models/{name}") for name in ("baseline", "gbt")]
-    for name, report in interpret.interpret(*fitted, read_table(spark, f"{out}/training")).items():
-        if name.endswith("_attributions"):
-            write_table(report, f"{out}/explain/{name}")
-        else:
+
+    def store(df: DataFrame, name: str) -> DataFrame:
+        write_table(df, f"{out}/explain/{name}")
+        return read_table(spark, f"{out}/explain/{name}")
+
+    found = interpret.interpret(*fitted, read_table(spark, f"{out}/training"), store=store)
+    for name, report in found.items():
+        if not name.endswith("_attributions"):
             _write_report(report, f"{out}/explain/{name}")
 
 

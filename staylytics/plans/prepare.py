@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from staylytics import constants as K
 from staylytics.functions import clean_price
-from staylytics.operators.cleaning import dedupe, drop_null_keys, iqr_filter, keep_rate
+from staylytics.operators.cleaning import dedupe, drop_null_keys, iqr_filter
 from staylytics.operators.combine import union_common, with_source_tag
 from staylytics.operators.features import engineer
 from staylytics.operators.geo import neighborhood_lookup
@@ -44,12 +44,14 @@ def unify(sources: Mapping[str, DataFrame]) -> DataFrame:
     return union_common([with_source_tag(df, "city", city) for city, df in sources.items()])
 
 
-def clean_sources(sources: Mapping[str, DataFrame], exact: bool = True) -> tuple[DataFrame, DataFrame]:
-    """All sources combined and cleaned, each against its own quartiles, and the keep rate per source."""
-    tagged = {s: with_source_tag(with_source_tag(df, "city", s), "source", s) for s, df in sources.items()}
-    raw = union_common(list(tagged.values()))
-    kept = materialize(clean_listings(raw, by=["source"], exact=exact), "clean")
-    return kept.drop("source"), keep_rate(raw, kept, ["source"])
+def combine_sources(sources: Mapping[str, DataFrame]) -> DataFrame:
+    """All sources on their common columns, tagged by ``source`` and, where absent, by ``city``."""
+    return union_common([with_source_tag(with_source_tag(df, "city", s), "source", s) for s, df in sources.items()])
+
+
+def clean_sources(raw: DataFrame, exact: bool = True) -> DataFrame:
+    """Combined sources cleaned, each against its own quartiles."""
+    return clean_listings(raw, by=["source"], exact=exact)
 
 
 def features(df: DataFrame, as_of: Column | str | None = None, centers: DataFrame | None = None) -> DataFrame:

@@ -40,7 +40,7 @@ def gbt_features(df: DataFrame) -> Features:
     return chosen
 
 
-def training_table(
+def training_rows(
     df: DataFrame,
     columns: Sequence[str],
     key: str = "id",
@@ -49,13 +49,16 @@ def training_table(
     hi: float = 0.99,
     exact: bool = True,
 ) -> DataFrame:
-    """Trimmed, split and cut down to the columns that models and segments read, stored once.
-
-    Fitting passes over this narrow table many times; the wide one is read once.
-    """
+    """Trimmed, split and cut down to the columns that models and segments read."""
     wanted = dict.fromkeys([key, target, *columns, "city", "room_type", "accommodates"])
     narrow = df.select(*[c for c in wanted if c in df.columns])
-    return materialize(hash_split(quantile_trim(narrow, target, lo, hi, exact=exact), key), "training")
+    return hash_split(quantile_trim(narrow, target, lo, hi, exact=exact), key)
+
+
+def training_table(df: DataFrame, columns: Sequence[str], **options) -> DataFrame:
+    """``training_rows`` stored by split: fitting passes over this narrow table many times,
+    and a pass over one side reads that side's files only."""
+    return materialize(training_rows(df, columns, **options), "training", ["split"])
 
 
 def train_baseline(table: DataFrame, features: Features, target: str = "price_clean", trim=(0.025, 0.975)) -> PipelineModel:

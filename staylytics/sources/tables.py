@@ -94,13 +94,15 @@ def write_table(
     single_file: bool = False,
     single_file_rows: int = 1_000_000,
     max_records_per_file: int | None = None,
+    rebalance: bool = False,
 ) -> None:
     """Overwrite ``path``.
 
     File count follows the plan's partitions; ``max_records_per_file`` bounds the
-    size of each file without another shuffle. With ``partition_by`` the rows are
-    rebalanced by those columns first: small values share a task and adaptive
-    execution splits a value that holds much of the table. ``single_file`` is for small result
+    size of each file without another shuffle. ``rebalance`` adds one, for
+    a partitioning with many values: small ones then share a task, and adaptive
+    execution splits one that holds much of the table. With few values each task
+    writes large files anyway and the shuffle would be wasted. ``single_file`` is for small result
     tables: the table is staged first and refused above ``single_file_rows``, so
     no large table is ever squeezed through one task.
     """
@@ -110,7 +112,7 @@ def write_table(
         if rows > single_file_rows:
             raise ValueError(f"{rows} rows are too many for one file (limit {single_file_rows})")
         df = df.coalesce(1)
-    if partition_by:
+    if rebalance:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":

@@ -128,8 +128,10 @@ def test_clean_sources_treats_each_source_by_itself(spark):
         df = spark.createDataFrame(rows, "id int, price string, latitude string, longitude string")
         return df.withColumns({c: F.lit("x") for c in extra})
 
-    kept, rates = prepare.clean_sources({"a": source([10, 11, 12, 13, 999], ["note"]), "b": source([990, 999, 1000, 1010])})
-    assert "note" not in kept.columns and "source" not in kept.columns
+    raw = prepare.combine_sources({"a": source([10, 11, 12, 13, 999], ["note"]), "b": source([990, 999, 1000, 1010])})
+    kept = prepare.clean_sources(raw)
+    rates = cleaning.keep_rate(raw, kept, ["source"])
+    assert "note" not in kept.columns
     assert {(r["city"], r["price_clean"]) for r in kept.collect()} == {
         ("a", 10.0), ("a", 11.0), ("a", 12.0), ("a", 13.0), ("b", 990.0), ("b", 999.0), ("b", 1000.0), ("b", 1010.0)
     }

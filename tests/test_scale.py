@@ -109,7 +109,7 @@ def test_tables_and_files(spark, tmp_path):
         write_table(df, str(tmp_path / "two"), "csv", single_file=True, single_file_rows=5)
     write_table(df.coalesce(1), str(tmp_path / "three"), max_records_per_file=3)
     assert len(list((tmp_path / "three").glob("part-*"))) == 4
-    write_table(df, str(tmp_path / "four"), partition_by=["c"])
+    write_table(df, str(tmp_path / "four"), partition_by=["c"], rebalance=True)
     assert {p.name for p in (tmp_path / "four").glob("c=*")} == {"c=x", "c=__HIVE_DEFAULT_PARTITION__"}
 
 

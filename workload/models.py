@@ -11,7 +11,7 @@ from staylytics.operators import evaluate, explain, models, results, selection
 from staylytics.operators.split import hash_split
 from staylytics.plans import train
 from staylytics.sources import scratch_path
-from workload.adapters import requests, stage
+from workload.adapters import requests
 from workload.features import ENGINEERED_SQL, engineered
 from workload.registry import query, rounded, rounded_sql, table
 
@@ -35,7 +35,7 @@ def chosen(spark, sf_dir):
 def training(spark, sf_dir):
     base, gbt = chosen(spark, sf_dir)
     df = engineered(spark, sf_dir)
-    return stage(spark, sf_dir, "training", lambda: train.training_table(df, [*base.all, *gbt.all]))
+    return _once(spark, sf_dir, "training", lambda: train.training_table(df, [*base.all, *gbt.all]))
 
 
 def linear(spark, sf_dir):
