@@ -154,7 +154,14 @@ NUMERIC_SQL = {c: f"coalesce({c}, 0)" for c in ("id", "latitude", "longitude", "
 }
 _DOUBLES = ["latitude", "longitude", "price_clean", "host_response_rate_clean", "bathrooms_numeric", *RATES, *SCORES,
             "avg_review_score", *DISTANCE, *PRICES]
-ENGINEERED_SQL = f"{WITH_PRICED} select {', '.join(_TEXT_COLUMNS + _OTHER_TEXT)}, {_columns(NUMERIC_SQL)} from p"
+# the order in which the feature table has its columns
+ENGINEERED_COLUMNS = [
+    "id", "latitude", "longitude", *_TEXT_COLUMNS, "price_clean", "host_since", "host_response_rate", "host_is_superhost",
+    *CAPACITY, "bathrooms_text", *AVAILABILITY, *COUNTS, "review_scores_rating", "review_scores_location", "name",
+    *HOST, *BATHS, *AMENITIES, *RATES, *REVIEWS, *TEXT, *DISTANCE, *PRICES, *ROOMS,
+]
+ENGINEERED_SQL = f"{WITH_PRICED} select {_columns({c: NUMERIC_SQL.get(c, c) for c in ENGINEERED_COLUMNS})} from p"
+ENGINEERED_TEXT = [*_TEXT_COLUMNS, *_OTHER_TEXT]
 
 
 @query(rounded_sql(ENGINEERED_SQL, _DOUBLES))

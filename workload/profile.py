@@ -8,7 +8,7 @@ from staylytics.operators import selection
 from staylytics.operators.features import target_column
 from workload.adapters import listings
 from workload.clean import WITH_L, WITH_PRICED
-from workload.features import _DOUBLES, ENGINEERED_SQL, NUMERIC_SQL, engineered, priced
+from workload.features import ENGINEERED_SQL, ENGINEERED_TEXT, NUMERIC_SQL, engineered, priced
 from workload.registry import query, rounded, rounded_sql, table
 
 LISTING_COLUMNS = [
@@ -168,7 +168,36 @@ def cardinality_gate(spark, sf_dir):
     return counted.withColumn("usable", counted["n_distinct"].between(2, 50))
 
 
-@query()
+def _list(names) -> str:
+    return ", ".join(f"'{n}'" for n in names)
+
+
+def _skip(words) -> str:
+    return " and ".join(f"not contains(lower(c), '{w}')" for w in words)
+
+
+_SELECTION = f"""{_WITH_E},
+d as (select column_name as c, column_type as t, row_number() over () as i from (describe select * from e)),
+num as (select * from d where t in ('BIGINT', 'INTEGER', 'DOUBLE') and c <> 'price_clean'),
+base as (select * from num where c not in ({_list(K.BASELINE_BANNED)}) and {_skip(K.BASELINE_SKIP_WORDS)}),
+card as ({_union(f"select '{c}' as c, count(distinct {c}) + max(case when {c} is null then 1 else 0 end) as n from e" for c in ENGINEERED_TEXT)}),
+cat as (select d.* from d join card using (c) where t = 'VARCHAR' and n between 2 and 50),
+cor as (select "column" as c, abs(correlation) as r from ({corr_sql('price_clean', _FEATURES, 'e')}) where not isnan(correlation)),
+pref as (select c, i from (select unnest([{_list(K.PREFERRED_NUMERIC)}]) as c, generate_subscripts([{_list(K.PREFERRED_NUMERIC)}], 1) as i)
+         where c in (select c from num)),
+picks as (
+ select 'baseline' as model, 'numeric' as kind, c, row_number() over (order by i) as p, 25 as k from base
+ union all select 'baseline', 'categorical', c, row_number() over (order by i), 10 from cat
+   where c not in ({_list(K.BASELINE_BANNED)}) and {_skip(K.BASELINE_SKIP_WORDS)}
+ union all select 'baseline by correlation', 'numeric', c, row_number() over (order by round(coalesce(r, 0), 9) desc, i), 25 from base left join cor using (c)
+ union all select 'gbt', 'numeric', c, row_number() over (order by i), 99 from pref where c not in ({_list(K.LEAKY_FEATURES)})
+ union all select 'gbt', 'categorical', c, row_number() over (order by i), 10 from cat where c in ({_list(K.GBT_CATEGORICAL)})
+ union all select 'explain', 'numeric', c, row_number() over (order by i), 99 from pref where c not in ({_list(K.EXPLAIN_BANNED)})
+ union all select 'explain', 'categorical', c, row_number() over (order by i), 10 from cat where c in ({_list(K.EXPLAIN_CATEGORICAL)}))
+select model, kind, cast(p as int) as position, c as feature from picks where p <= k"""
+
+
+@query(_SELECTION)
 def feature_selection(spark, sf_dir):
     """Which columns each model takes, one row per (model, kind, feature)."""
     df = engineered(spark, sf_dir)
