@@ -39,10 +39,11 @@ def _measures(actual: Column, pred: Column) -> dict[str, Column]:
     y, p = F.when(both, actual.cast("double")), F.when(both, pred.cast("double"))
     squared = (y - p) * (y - p)
     n = F.count(y)
+    total = F.when(F.min(y) < F.max(y), F.var_pop(y) * n)  # a constant actual has no R²
     return {
         "rmse": F.sqrt(F.avg(squared)),
         "mae": F.avg(F.abs(y - p)),
-        "r2": F.lit(1.0) - F.try_divide(F.sum(squared), F.var_pop(y) * n),
+        "r2": F.lit(1.0) - F.try_divide(F.sum(squared), total),
         "mape": F.avg(_pct_error(y, p)),
         "actual_mean": F.avg(y),
         "pred_mean": F.avg(p),

@@ -86,15 +86,17 @@ def correlations(
 ) -> DataFrame:
     """Correlation of ``target`` with each numeric column, all from one scan; undefined ones left out.
 
-    Pairs with a missing side do not count, and a constant column has no
-    correlation. Each row becomes one (column, value) pair per column and each task
+    Pairs with a missing side do not count. A constant column has no correlation;
+    range, not deviation, tells it, since merging partial means can leave a deviation
+    of a rounding error instead of 0. Each row becomes one (column, value) pair per column and each task
     folds them into one partial result per column: unlike one aggregate per column
     side by side, the generated code does not grow with the number of columns.
     """
     names = [c for c in (numeric_columns(df) if cols is None else cols) if c != target][:limit]
     values = F.array(*[F.col(c).cast("double") for c in names])
     pairs = df.select(F.col(target).cast("double").alias("t"), F.posexplode(values).alias("i", "x"))
-    spread = F.stddev_pop("t") * F.stddev_pop("x")
+    varies = (F.min("t") < F.max("t")) & (F.min("x") < F.max("x"))
+    spread = F.when(varies, F.stddev_pop("t") * F.stddev_pop("x"))
     found = pairs.where("t is not null and x is not null").groupBy("i").agg(
         F.try_divide(F.covar_pop("t", "x"), spread).alias("correlation")
     )

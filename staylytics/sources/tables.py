@@ -102,16 +102,16 @@ def write_table(
     size of each file without another shuffle. ``rebalance`` adds one, for
     a partitioning with many values: small ones then share a task, and adaptive
     execution splits one that holds much of the table. With few values each task
-    writes large files anyway and the shuffle would be wasted. ``single_file`` is for small result
-    tables: the table is staged first and refused above ``single_file_rows``, so
-    no large table is ever squeezed through one task.
+    writes large files anyway and the shuffle would be wasted.
+
+    ``single_file`` is for small result tables: the table is staged and counted first,
+    and one with more than ``single_file_rows`` rows keeps its many files, so that no
+    large table is ever squeezed through one task.
     """
     if single_file:
         df = materialize(df, "single")
-        rows = df.count()
-        if rows > single_file_rows:
-            raise ValueError(f"{rows} rows are too many for one file (limit {single_file_rows})")
-        df = df.coalesce(1)
+        if df.count() <= single_file_rows:
+            df = df.coalesce(1)
     if rebalance:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").format(fmt)
@@ -137,5 +137,8 @@ def centers_table(
     """City centres as a table ``city, center_lat, center_lng``, built from literals."""
     centers = FEATURE_CENTERS if centers is None else centers
     names = list(centers) if cities is None else [c for c in cities if c in centers]
-    rows = [F.struct(F.lit(c).alias("city"), *(F.lit(float(v)).alias(n) for n, v in zip(("center_lat", "center_lng"), centers[c]))) for c in names]
+    rows = []
+    for c in names:
+        lat, lng = centers[c]
+        rows.append(F.struct(F.lit(c).alias("city"), F.lit(lat).alias("center_lat"), F.lit(lng).alias("center_lng")))
     return spark.range(1).select(F.inline(F.array(*rows)))
