@@ -11,6 +11,7 @@ collected, and every round's tables lie in the shared checkpoint folder.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,3 +39,20 @@ def components(links: DataFrame) -> DataFrame:
         up = step.select(F.col("node").alias("component"), F.col("parent").alias("up"))
         out = out.join(up, "component", "left").select("node", F.coalesce("up", "component").alias("component"))
     return out
+
+
+def local_roots(near: np.ndarray, one: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Roots of the rows and of the columns of one block: each is the smallest row index it is connected to.
+
+    ``near`` says which row is linked with which column. With ``one`` rows and columns are the same things;
+    else a column without a link has the root ``len(near)`` or more.
+    """
+    far = np.iinfo(np.int32).max
+    mine = np.arange(near.shape[0], dtype=np.int32)
+    theirs = mine if one else np.full(near.shape[1], far, dtype=np.int32)
+    while True:
+        down = np.minimum(theirs, np.where(near, mine[:, None], far).min(axis=0, initial=far))
+        up = np.minimum(mine, np.where(near, down[None, :], far).min(axis=1, initial=far))
+        if np.array_equal(up, mine) and np.array_equal(down, theirs):
+            return mine, theirs
+        mine, theirs = up, (up if one else down)

@@ -149,13 +149,12 @@ def fit(
         bound = F.when(F.col(lang_column) == lang, share / sizes[lang]).otherwise(bound)
     counts = materialize(_counts(rows.where(chance < bound), text_column, lang_column), "words")
     padded = F.concat(F.lit(" "), "word", F.lit(" "))
-    grams = [
-        F.transform(F.sequence(F.lit(1), F.length(padded) - n + 1), lambda i, n=n: F.substring(padded, i, F.lit(n)))
-        if n > 1
-        else F.split("word", "")
-        for n in orders
-    ]
-    every = F.concat(*[F.when(F.length(padded) >= n, g).otherwise(F.array().cast("array<string>")) for n, g in zip(orders, grams, strict=True)])
+
+    def grams(n: int) -> Column:
+        found = F.transform(F.sequence(F.lit(1), F.length(padded) - n + 1), lambda i: F.substring(padded, i, F.lit(n)))
+        return F.when(F.length(padded) >= n, found).otherwise(F.array().cast("array<string>"))
+
+    every = F.concat(*[grams(n) for n in orders])
     parts = counts.select("lang", "n", F.explode(every).alias("gram")).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
     def top(df: DataFrame, token: str, limit: int) -> tuple[list, dict[str, float]]:
