@@ -27,10 +27,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near-copies, the one with the smallest id."""
-    found = simhash.near_duplicates(docs)
-    gone = few(materialize(found.where("doc_id <> component").select("doc_id").distinct(), "copies"))
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """Keep one document of each group of near-copies, the one with the smallest id; documents without an id stay.
+
+    Where that id has several rows, one of them stays.
+    """
+    found = materialize(simhash.near_duplicates(docs), "groups")
+    gone = materialize(found.where("doc_id <> component").select("doc_id").distinct(), "copies")
+    again = found.where("doc_id = component").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    again = materialize(again, "again")
+    once = docs.join(few(materialize(gone.union(again), "others")), "doc_id", "left_anti").select(docs.columns)
+    return once.union(docs.join(few(again), "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ a document and an item lie on diagonals (document position minus item position),
 is laid over the document where most of its windows agree: there the share of the item's windows is
 counted, and the slots are compared. Each slot value of the item must stand for one value of the
 document throughout, so a question asked again with other numbers is found and an accidental
-frame is not.
+frame is not. Where most slots hold the item's own values it is a copy, and single changes don't matter.
 """
 
 from __future__ import annotations
@@ -44,7 +44,7 @@ def _is_number(word: Column) -> Column:
     return F.substring(word, 1, 1).between("0", "9") & word.rlike(r"^[0-9][0-9.,:/]*$")
 
 
-def _templates(words: str, bare: str) -> Column:
+def _templates(words: str, bare: str, names: bool = True) -> Column:
     """The template of each word, with the placeholder that it and its left neighbour call for."""
 
     def one(w: Column, i: Column) -> Column:
@@ -53,30 +53,31 @@ def _templates(words: str, bare: str) -> Column:
         ends = F.element_at(F.col(words), i).rlike(r"[.!?:;|]\W*$")
         is_name = (low != w) & (i > 0) & w.rlike(r"^\p{Lu}\p{Ll}") & ~F.when(i > 0, ends).otherwise(F.lit(True))
         is_unit = (i > 0) & F.when(i > 0, _is_number(previous)).otherwise(F.lit(False)) & low.isin(UNITS)
-        return F.when(_is_number(w), NUMBER).when(is_name, NAME).when(is_unit, UNIT).otherwise(low)
+        known = F.when(_is_number(w), NUMBER)
+        return (known.when(is_name, NAME) if names else known).when(is_unit, UNIT).otherwise(low)
 
     return F.transform(bare, one)
 
 
 def templates(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(id, bare, template): the bare words and their templates, arrays of equal length; empty for a null or blank text."""
+    """(id, words, bare, template): words, bare words and templates, arrays of equal length; empty for a null or blank text."""
     rows = df.select(F.col(id_column).alias("id"), _words(F.col(text_column)).alias("words"))
     rows = rows.select("id", "words", _bare("words").alias("bare"))
-    return rows.select("id", "bare", _templates("words", "bare").alias("template"))
+    return rows.select("id", "words", "bare", _templates("words", "bare").alias("template"))
 
 
-def _windows(n: int) -> Column:
+def _windows(n: int, template: str = "template") -> Column:
     """A hash for each window of ``n`` template words, in order."""
-    at = F.sequence(F.lit(1), F.greatest(F.size("template") - n + 1, F.lit(1)))
-    hashed = F.transform(at, lambda i: F.xxhash64(*[F.element_at(F.col("template"), i + k) for k in range(n)]))
-    return F.when(F.size("template") >= n, hashed).otherwise(F.array().cast("array<bigint>"))
+    at = F.sequence(F.lit(1), F.greatest(F.size(template) - n + 1, F.lit(1)))
+    hashed = F.transform(at, lambda i: F.xxhash64(*[F.element_at(F.col(template), i + k) for k in range(n)]))
+    return F.when(F.size(template) >= n, hashed).otherwise(F.array().cast("array<bigint>"))
 
 
 def _telling(n: int, literals: int) -> Column:
-    """(item_at, hash) of the windows with at least so many words that are no placeholders."""
+    """(item_at, hash, unnamed hash) of the windows with at least so many words that are no placeholders."""
     place = F.array(*[F.lit(x) for x in (NUMBER, NAME, UNIT)])
     plain = F.transform("hashes", lambda h, i: F.size(F.filter(F.slice(F.col("template"), i + 1, n), lambda t: ~F.array_contains(place, t))) >= literals)
-    both = F.transform("hashes", lambda h, i: F.struct(i.alias("item_at"), h.alias("hash"), F.element_at(plain, i + 1).alias("plain")))
+    both = F.transform("hashes", lambda h, i: F.struct(i.alias("item_at"), h.alias("hash"), F.element_at(F.col("unnamed"), i + 1).alias("other"), F.element_at(plain, i + 1).alias("plain")))
     return F.filter(both, lambda w: w["plain"])
 
 
@@ -106,16 +107,17 @@ def contaminated(
     a null or empty text. Repeated rows of a document or an item (by id) count once. Null ids match
     nothing. Empty tables give an empty table; other columns are not read.
     """
-    items = templates(benchmark, item_column, item_text_column).where("id is not null").dropDuplicates(["id", "template", "bare"])
-    items = items.select("id", "bare", "template", _windows(window).alias("hashes"))
-    items = items.select(F.col("id").alias("item"), F.col("bare").alias("item_bare"), "template", _telling(window, literals).alias("windows"))
+    items = templates(benchmark, item_column, item_text_column).where("id is not null").dropDuplicates(["id", "words"])
+    items = items.withColumn("named", F.concat(F.array(F.lit(NAME)), F.slice("template", 2, 1 << 30)))
+    items = items.withColumn("plain", _templates("words", "bare", names=False))
+    items = items.withColumns({"hashes": _windows(window), "unnamed": _windows(window, "plain"), "starts": _windows(window, "named")})
+    items = items.select(F.col("id").alias("item"), F.col("bare").alias("item_bare"), "template", "starts", _telling(window, literals).alias("windows"))
     items = materialize(items, "items")
-    # an item's first word may stand inside a sentence of the document, where its capital makes it a name
-    again = F.filter("windows", lambda w: (w["item_at"] == 0) & (F.size("template") >= window))
-    named = F.xxhash64(F.lit(NAME), *[F.get("template", F.lit(k)) for k in range(1, window)])
-    again = F.transform(again, lambda w: F.struct(w["item_at"].alias("item_at"), named.alias("hash"), w["plain"].alias("plain")))
-    grams = items.select("item", F.size("windows").alias("n_windows"), F.inline(F.array_distinct(F.concat("windows", again))))
-    grams = few(materialize(grams.select("item", "n_windows", "item_at", "hash"), "windows"))
+    # a document in capitals or without them shows no names, and inside its sentences an item's first word may look like one
+    start = F.when(F.col("w.item_at") == 0, F.get("starts", F.lit(0))).otherwise(F.col("w.hash"))
+    grams = items.select("item", "starts", F.size("windows").alias("n_windows"), F.explode("windows").alias("w"))
+    grams = grams.select("item", "n_windows", F.col("w.item_at").alias("item_at"), F.explode(F.array_distinct(F.array("w.hash", "w.other", start))).alias("hash"))
+    grams = few(materialize(grams, "windows"))
     rows = templates(docs.where(F.col(id_column).isNotNull()), id_column, text_column)
     hashed = rows.select("id", F.posexplode(_windows(window)).alias("doc_at", "hash"))
     hits = hashed.join(grams, "hash").groupBy("id", "item", (F.col("doc_at") - F.col("item_at")).alias("at"))
@@ -135,8 +137,9 @@ def contaminated(
     laid = laid.withColumn("pairs", pairs)
     values = F.array_distinct(F.transform("pairs", lambda p: p["of"]))
     laid = laid.select("*", F.size("pairs").alias("n_slots"), (F.size(F.array_distinct("pairs")) == F.size(values)).alias("consistent"))
-    laid = laid.withColumn("reworded", F.size(F.filter("pairs", lambda p: p["of"] != p["is"])))
-    kept = laid.where("consistent").groupBy("id", "item").agg(
+    laid = laid.withColumn("reworded", F.size(F.filter("pairs", lambda p: F.lower(p["of"]) != F.lower(p["is"]))))
+    same = F.col("n_slots") - F.col("reworded") >= F.col("n_slots") * F.lit(share)
+    kept = laid.where(F.col("consistent") | same).groupBy("id", "item").agg(
         F.max(F.struct("n_matched", (-F.col("at")).alias("at"), "n_windows", "n_slots", "reworded")).alias("b")
     )
     return kept.select(

@@ -49,9 +49,10 @@ class Model:
 
     def backoff(self, word: str) -> np.ndarray | None:
         """Mean score of the longest known n-grams of an unseen word; None if not even a letter is known."""
-        padded, get = f" {word} ", self.gram_rows.get
+        get = self.gram_rows.get
         for n in self.orders:
-            rows = [r for r in (get(padded[i : i + n]) for i in range(len(padded) - n + 1)) if r is not None]
+            letters = f" {word} " if n > 1 else word
+            rows = [r for r in (get(letters[i : i + n]) for i in range(len(letters) - n + 1)) if r is not None]
             if rows:
                 return self.gram_scores[rows].mean(axis=0)
         return None
@@ -148,11 +149,11 @@ def fit(
     for lang in languages:
         bound = F.when(F.col(lang_column) == lang, share / sizes[lang]).otherwise(bound)
     counts = materialize(_counts(rows.where(chance < bound), text_column, lang_column), "words")
-    padded = F.concat(F.lit(" "), "word", F.lit(" "))
 
     def grams(n: int) -> Column:
-        found = F.transform(F.sequence(F.lit(1), F.length(padded) - n + 1), lambda i: F.substring(padded, i, F.lit(n)))
-        return F.when(F.length(padded) >= n, found).otherwise(F.array().cast("array<string>"))
+        letters = F.concat(F.lit(" "), "word", F.lit(" ")) if n > 1 else F.col("word")
+        found = F.transform(F.sequence(F.lit(1), F.length(letters) - n + 1), lambda i: F.substring(letters, i, F.lit(n)))
+        return F.when(F.length(letters) >= n, found).otherwise(F.array().cast("array<string>"))
 
     every = F.concat(*[grams(n) for n in orders])
     parts = counts.select("lang", "n", F.explode(every).alias("gram")).groupBy("lang", "gram").agg(F.sum("n").alias("n"))

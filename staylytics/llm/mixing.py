@@ -21,20 +21,20 @@ from staylytics.sources import materialize
 Pattern = tuple[str | None, ...]
 
 
-def targets(sizes: dict[str | None, int], weights: Sequence[float] = (3, 1, 2), share: float = 1.5, repeats: int = 2) -> dict[str | None, float]:
-    """Words wanted of each source: ``share`` of all, split by weight, none above ``repeats`` times the source.
+def targets(sizes: dict[str | None, int], weights: Sequence[float] = (3, 1, 2), share: float = 1.5, repeats: int = 2, total: int | None = None) -> dict[str | None, float]:
+    """Words wanted of each source: ``share`` of all (the sum of sizes, or ``total`` where sources overlap), split by weight, none above ``repeats`` times the source.
 
     Sources are ordered by code point with null last, and the weights repeat along that order.
     What a full source cannot take is shared by weight among the others, until none is above.
     """
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
     weight = {s: float(weights[i % len(weights)]) for i, s in enumerate(order)}
-    left, rest, out = share * sum(sizes.values()), set(order), {}
+    left, rest, out = share * (sum(sizes.values()) if total is None else total), set(order), {}
     while rest:
-        total = sum(weight[s] for s in rest)
-        full = [s for s in rest if left * weight[s] / total > repeats * sizes[s]]
+        parts = sum(weight[s] for s in rest)
+        full = [s for s in rest if left * weight[s] / parts > repeats * sizes[s]]
         if not full:
-            return out | {s: left * weight[s] / total for s in rest}
+            return out | {s: left * weight[s] / parts for s in rest}
         out |= {s: float(repeats * sizes[s]) for s in full}
         left -= sum(out[s] for s in full)
         rest.difference_update(full)
@@ -130,7 +130,7 @@ def mix(
     for p, n in words.items():
         for s in p:
             sizes[s] = sizes.get(s, 0) + n
-    wanted = targets(sizes, weights, share, repeats)
+    wanted = targets(sizes, weights, share, repeats, total=sum(words.values()))
     flow = route({p: float(n) for p, n in words.items() if n}, wanted, repeats)
     plan = []
     for g, r in enumerate(patterns):
