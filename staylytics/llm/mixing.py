@@ -19,6 +19,8 @@ from staylytics.llm.cuts import KEYS, weighted_cuts
 from staylytics.sources import materialize
 
 Pattern = tuple[str | None, ...]
+#: Patterns and sources are listed on the driver and sent to every task; more than this raises.
+MAX_PATTERNS = 100_000
 
 
 def targets(sizes: dict[str | None, int], weights: Sequence[float] = (3, 1, 2), share: float = 1.5, repeats: int = 2, total: int | None = None) -> dict[str | None, float]:
@@ -125,6 +127,8 @@ def mix(
     rows = docs.select(_key(id_column, seed).alias("key"), _size(F.col(text_column)).alias("size"), F.array_distinct(own).alias("members"))
     rows = materialize(rows.withColumn("pattern", _pattern(F.col("members"))), "mix")
     patterns = rows.groupBy("pattern").agg(F.first("members").alias("m"), F.sum("size").alias("words")).collect()
+    if len(patterns) > MAX_PATTERNS:
+        raise ValueError(f"{len(patterns)} patterns of membership; the network is for at most {MAX_PATTERNS}")
     words = {tuple(r["m"]): int(r["words"]) for r in patterns}
     sizes: dict[str | None, int] = {}
     for p, n in words.items():
@@ -152,7 +156,8 @@ def mix(
         F.coalesce(source, F.lit("")).alias("name"),
         source.isNull().alias("none"),
     )
-    out = out.join(table, "pattern", "left").join(source_table.fillna("", "name"), ["name", "none"], "left")
+    out = out.join(F.broadcast(table), "pattern", "left")
+    out = out.join(F.broadcast(source_table.fillna("", "name")), ["name", "none"], "left")
     again = F.exists("parts", lambda x: (F.col("key") >= x["lo"]) & (F.col("key") < x["hi"]) & (F.col("size") <= x["most"]))
     times = F.coalesce("passes", F.lit(0)) + F.coalesce(again, F.lit(False)).cast("int")
     return out.select("row", "size", "source_size", "target", (F.col("size") * times).alias("taken"))
@@ -172,7 +177,7 @@ def _select(rows: DataFrame, plan: Iterable[Sequence], precise: float) -> dict[i
     names = {g: p for g, p, *_ in plan}
     while left:
         limits = spark.createDataFrame([(g, names[g], start[g], int(left[g])) for g in left], "grp int, pattern string, start long, most long")
-        fitting = rows.join(limits, "pattern").where("key >= start and size between 1 and most")
+        fitting = rows.join(F.broadcast(limits), "pattern").where("key >= start and size between 1 and most")
         cuts = weighted_cuts(fitting.select("grp", "key", F.col("size").alias("weight")), left, slack=0.0)
         for g, (cut, got) in cuts.items():
             if got > 0:
