@@ -71,7 +71,7 @@ class Model:
             for t, r in zip(tokens, rows, strict=True):
                 if r < 0:
                     if t not in self.seen:
-                        if len(self.seen) >= 200_000:
+                        if len(self.seen) >= 50_000:
                             self.seen.clear()
                         self.seen[t] = self.backoff(t)
                     if (score := self.seen[t]) is not None:
@@ -125,8 +125,8 @@ def fit(
     lang_column: str = "lang",
     id_column: str = "doc_id",
     sample_rows: int = 12_000,
-    max_words: int = 150_000,
-    max_grams: int = 60_000,
+    max_words: int = 100_000,
+    max_grams: int = 40_000,
     orders: tuple[int, ...] = (5, 4, 3, 2, 1),
     alpha: float = 0.1,
     evidence: int = 40,
@@ -161,7 +161,8 @@ def fit(
     def top(df: DataFrame, token: str, limit: int) -> tuple[list, dict[str, float]]:
         kept = df.where("n > 1").orderBy(F.desc("n"), "lang", token).limit(limit).select("lang", token, "n")
         totals = {r[0]: float(r[1]) for r in df.groupBy("lang").agg(F.sum("n")).collect()}
-        return [tuple(r) for r in kept.collect()], totals
+        table = kept.toArrow()
+        return list(zip(*[c.to_pylist() for c in table.columns], strict=True)), totals
 
     word_rows, word_scores = _scores(*_with(top(counts, "word", max_words), languages, alpha))
     gram_rows, gram_scores = _scores(*_with(top(materialize(parts, "grams"), "gram", max_grams), languages, alpha))
