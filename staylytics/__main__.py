@@ -16,6 +16,7 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="staylytics", description=__doc__)
     parser.add_argument("stage", choices=(*STAGES, "quote", "all"))
     parser.add_argument("--raw", default="data/raw", help="folder with <city>/listings.csv")
+    parser.add_argument("--cities", help="comma-separated; by default every folder under --raw")
     parser.add_argument("--out", default="output", help="folder for all results")
     parser.add_argument("--as-of", help="day (YYYY-MM-DD) that host age is counted to; today by default")
     parser.add_argument("--requests", help="parquet table of quote requests")
@@ -26,13 +27,13 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = SparkSession.builder.appName("staylytics").getOrCreate()
     run = {
-        "clean": lambda: jobs.clean(spark, args.raw, args.out, multi_line=not args.single_line),
+        "clean": lambda: jobs.clean(spark, args.raw, args.out, args.cities.split(",") if args.cities else None, not args.single_line),
         "features": lambda: jobs.features(spark, args.out, args.as_of),
         "lookup": lambda: jobs.lookup(spark, args.out),
         "profile": lambda: jobs.profile(spark, args.out),
         "fit": lambda: jobs.fit(spark, args.out, depth=args.depth, iters=args.iters),
         "evaluate": lambda: jobs.evaluate(spark, args.out),
-        "explain": lambda: jobs.explain(spark, args.out),
+        "explain": lambda: jobs.explain(spark, args.out, depth=args.depth, iters=args.iters),
         "quote": lambda: write_table(
             jobs.quote(spark, args.out, read_table(spark, args.requests)), f"{args.out}/quotes"
         ),

@@ -156,15 +156,20 @@ def comparison(
     names: Sequence[str] = ("rmse", "mae", "r2", "mape"),
     defaults: Mapping[str, Mapping[str, float]] | None = None,
 ) -> DataFrame:
-    """One row per metric, one column per model; a metric never written takes its default."""
-    defaults = K.DEFAULT_METRICS if defaults is None else defaults
+    """One row per metric, one column per model.
+
+    A model without a row in ``metrics`` takes its ``defaults`` (model to metric to value), where they are given.
+    A metric that was computed and is undefined stays null.
+    """
+    defaults = defaults or {}
     cells = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in names])
     long = metrics.select("model", F.inline(cells))
-    table = long.groupBy("metric").pivot("model", list(models)).agg(F.first("value", ignorenulls=True))
-    filled = []
+    picked = []
     for model in models:
-        value = F.col(model)
+        own = F.col("model") == model
+        fallback = F.lit(None).cast("double")
         for name, default in defaults.get(model, {}).items():
-            value = F.when((F.col("metric") == name) & F.col(model).isNull(), F.lit(float(default))).otherwise(value)
-        filled.append(value.alias(model))
-    return table.select("metric", *filled)
+            fallback = F.when(F.col("metric") == name, F.lit(float(default))).otherwise(fallback)
+        value = F.first(F.when(own, F.col("value")), ignorenulls=True)
+        picked.append(F.when(F.count_if(own) > 0, value).otherwise(F.first(fallback)).alias(model))
+    return long.groupBy("metric").agg(*picked)

@@ -14,8 +14,6 @@ from staylytics.operators.cleaning import require_not_null
 from staylytics.operators.features import with_center
 from staylytics.sources.staging import materialize
 
-MAX_SLOTS = 4096
-
 
 def neighborhood_lookup(df: DataFrame, centers: DataFrame, decimals: int | None = None) -> DataFrame:
     """``city, neighbourhood_cleansed, lat, lng, n, dist_km``: mean position, size, km to the centre.
@@ -54,109 +52,59 @@ def nearest_in_group(
     without a value takes the group's first row by the tie rule; a left row whose
     group is unknown keeps nulls. Right columns other than ``on`` are added.
 
-    The right values cut each group's axis into half-open spans, and a left value
-    falls into exactly one, whose two ends are the only candidates. Spans and left
-    rows also share a slot number (an even grid over the group's value range), so
-    the join is an equi-join on (group, slot) that emits one row per left row: no
-    pairs are spread out, and a large group is divided over its slots.
+    Both sides are laid on one line, sorted by (group, value) and cut into ranges of about equal numbers
+    of rows, so neither outliers nor a crowded value or group fill a task. The nearest right rows below and
+    above a left row are the last ones seen when its range is read forwards and backwards; where a range has
+    none, its neighbours' edges fill in, a few rows for each range. No pairs are formed.
     """
-    spans, grid = _spans(right, on, right_value, tie_desc, list(then))
-    spans = materialize(spans, "spans")
+    best = _best_by_value(right, on, right_value, tie_desc, list(then))
+    rank = F.struct((-F.col(tie_desc)).alias("t"), *[F.col(c) for c in then])
+    lead = materialize(best.groupBy("__g").agg(F.min_by("__row", rank).alias("__lead")), "lead")
 
+    nothing = F.lit(None).cast(best.schema["__row"].dataType)
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
     value = F.col(left_value).cast("double")
-    placed = left.join(grid, left[on] == grid["__g"], "left").drop("__g")
-    slot = F.when(value.isNull(), F.lit(-1)).otherwise(_slot(value))
-    placed = placed.withColumn("__slot", slot)
-    inside = (placed["__slot"] < 0) | (
-        (F.coalesce(placed[left_value].cast("double"), F.lit(0.0)) >= spans["__from"])
-        & (F.coalesce(placed[left_value].cast("double"), F.lit(0.0)) < spans["__to"])
-    )
-    joined = placed.join(
-        spans, (placed[on] == spans["__g"]) & (placed["__slot"] == spans["__s"]) & inside, "left"
+    asked = left.select(F.col(on).alias("__g"), value.alias("__v"), F.lit(1).alias("__side"), spread.alias("__salt"), F.struct("*").alias("__left"), nothing.alias("__row"))
+    known = best.where("__v is not null").select(
+        "__g", "__v", F.lit(0).alias("__side"), F.lit(0).cast("bigint").alias("__salt"), F.lit(None).cast(asked.schema["__left"].dataType).alias("__left"), "__row"
     )
-
-    def candidate(side: str) -> Column:
-        row = F.col(side)
-        diff = F.abs(row[right_value].cast("double") - value)
-        order = [diff.alias("d"), (-row[tie_desc]).alias("t"), *[row[c].alias(f"k{i}") for i, c in enumerate(then)]]
-        return F.when(row.isNotNull(), F.struct(*order, row.alias("row")))
-
-    best = F.least(candidate("__low"), candidate("__high"))
+    line = known.unionByName(asked.where("__g is not null and __v is not null"))
+    line = line.repartitionByRange("__g", "__v", "__side", "__salt").withColumn("__part", F.spark_partition_id())
+    line = materialize(line, "line")
+
+    entry = F.when(F.col("__side") == 0, F.struct(F.col("__v").alias("v"), F.col("__row").alias("row")))
+    edges = line.where("__side = 0").groupBy("__g", "__part").agg(F.min_by(entry, "__v").alias("__first"), F.max_by(entry, "__v").alias("__last"))
+    parts = line.select("__g", "__part").distinct().join(edges, ["__g", "__part"], "left")
+    by_part = Window.partitionBy("__g").orderBy("__part")
+    earlier = F.last("__last", ignorenulls=True).over(by_part.rowsBetween(Window.unboundedPreceding, -1))
+    by_part = Window.partitionBy("__g").orderBy(F.desc("__part"))
+    later = F.last("__first", ignorenulls=True).over(by_part.rowsBetween(Window.unboundedPreceding, -1))
+    edges = materialize(parts.select("__g", "__part", earlier.alias("__before"), later.alias("__after")), "edges")
+
+    inside = Window.partitionBy("__g", "__part")
+    low = F.last(entry, ignorenulls=True).over(inside.orderBy("__v", "__side", "__salt").rowsBetween(Window.unboundedPreceding, 0))
+    high = F.last(entry, ignorenulls=True).over(inside.orderBy(F.desc("__v"), "__side", "__salt").rowsBetween(Window.unboundedPreceding, 0))
+    seen = line.withColumns({"__low": low, "__high": high}).where("__side = 1").join(edges, ["__g", "__part"])
+
+    def candidate(end: Column) -> Column:
+        row = end["row"]
+        order = [F.abs(end["v"] - F.col("__v")).alias("d"), (-row[tie_desc]).alias("t"), *[row[c].alias(f"k{i}") for i, c in enumerate(then)]]
+        return F.when(end.isNotNull(), F.struct(*order, row.alias("row")))
+
+    ends = [candidate(F.coalesce(a, b)) for a, b in ((F.col("__low"), F.col("__before")), (F.col("__high"), F.col("__after")))]
+    found = seen.select("__left", F.col("__g"), F.least(*ends)["row"].alias("__row"))
+    rest = asked.where("__g is null or __v is null").select("__left", "__g", "__row")
+    every = found.unionByName(rest).join(lead, "__g", "left")
+    picked = F.coalesce("__row", "__lead")
     extra = [c for c in right.columns if c != on]
-    picked = joined.withColumn("__best", best)
-    return picked.select(*left.columns, *[F.col("__best.row")[c].alias(c) for c in extra])
-
-
-def _slot(value: Column) -> Column:
-    """Grid slot of a value; needs ``__min, __step, __slots`` of its group (0 when it has no grid)."""
-    raw = F.floor((value - F.col("__min")) / F.col("__step"))
-    clamped = F.least(F.greatest(raw, F.lit(0)), F.col("__slots") - 1)
-    return F.coalesce(clamped, F.lit(0)).cast("int")
+    return every.select(*[F.col("__left")[c].alias(c) for c in left.columns], *[picked[c].alias(c) for c in extra])
 
 
-def _spans(right: DataFrame, on: str, value: str, tie: str, then: list[str]) -> tuple[DataFrame, DataFrame]:
-    """``__g, __s, __from, __to, __low, __high`` spans by slot, and ``__g, __min, __step, __slots``."""
-    v = F.col(value).cast("double")
+def _best_by_value(right: DataFrame, on: str, value: str, tie: str, then: list[str]) -> DataFrame:
+    """``__g, __v``, the tie columns and ``__row``: the best right row of each group and value; null is a value too."""
     payload = F.struct(*[F.col(c) for c in right.columns if c != on])
-    order = [F.col(tie).desc(), *[F.col(c) for c in then]]
     # equal values in a group compete only among themselves
-    best = Window.partitionBy("__g", "__v").orderBy(*order)
-    rows = (
-        right.where(F.col(on).isNotNull())
-        .withColumns({"__g": F.col(on), "__v": v})
-        .withColumn("__rn", F.row_number().over(best))
-        .where("__rn = 1")
-    )
-    rows = materialize(rows.select("__g", "__v", tie, *then, payload.alias("__row")), "nearest")
-    grid = rows.groupBy("__g").agg(F.min("__v").alias("__min"), F.max("__v").alias("__max"), F.count("__v").alias("__n"))
-    slots = F.greatest(F.least(F.col("__n"), F.lit(MAX_SLOTS)), F.lit(1))
-    reach = F.col("__max") - F.col("__min")
-    grid = grid.select("__g", "__min", F.when(reach > 0, reach / slots).otherwise(1.0).alias("__step"), slots.alias("__slots"))
-    grid = materialize(grid, "grid")
-
-    valued = rows.where("__v is not null").join(grid, "__g").withColumn("__s", _slot(F.col("__v")))
-    valued = valued.select("__g", "__s", "__v", "__row")
-    entry = F.struct(F.col("__v").alias("v"), F.col("__row").alias("row"))
-    # the next value: inside the slot by window, else the lowest of the next filled slot
-    inside = Window.partitionBy("__g", "__s").orderBy("__v")
-    heads = valued.groupBy("__g", "__s").agg(F.min_by(entry, "__v").alias("__head"))
-    across = Window.partitionBy("__g").orderBy("__s")  # at most MAX_SLOTS rows per group
-    heads = heads.withColumn("__after", F.lead("__head").over(across)).select(
-        F.col("__g").alias("__hg"), F.col("__s").alias("__hs"), "__head", "__after"
-    )
-    linked = valued.withColumn("__lead", F.lead(entry).over(inside)).join(
-        heads, (F.col("__g") == F.col("__hg")) & (F.col("__s") == F.col("__hs"))
-    )
-    high = F.coalesce(F.col("__lead"), F.col("__after"))
-    infinity = F.lit(float("inf"))
-    body = linked.select(
-        "__g",
-        F.col("__v").alias("__from"),
-        F.coalesce(high["v"], infinity).alias("__to"),
-        F.col("__row").alias("__low"),
-        high["row"].alias("__high"),
-        F.col("__s").alias("__s0"),
-    )
-    nothing = F.lit(None).cast(rows.schema["__row"].dataType)
-    lowest = rows.where("__v is not null").groupBy("__g").agg(F.min_by(entry, "__v").alias("e"))
-    first = lowest.select(
-        "__g", (-infinity).alias("__from"), F.col("e.v").alias("__to"), nothing.alias("__low"),
-        F.col("e.row").alias("__high"), F.lit(0).alias("__s0"),
-    )
-    spread = body.unionByName(first).join(grid, "__g")
-    # a span serves every slot it touches; a group's spans overlap its slots in one pass
-    last = F.when(F.col("__to") == infinity, (F.col("__slots") - 1).cast("int")).otherwise(_slot(F.col("__to")))
-    spread = spread.withColumn("__s", F.explode(F.sequence(F.col("__s0"), F.greatest(last, F.col("__s0")))))
-    spans = spread.select("__g", "__s", "__from", "__to", "__low", "__high")
-
-    # groups without any value, and left rows without one (slot -1)
-    rank = F.struct((-F.col(tie)).alias("t"), *[F.col(c) for c in then])
-    lead_row = rows.groupBy("__g").agg(F.min_by("__row", rank).alias("__low"), F.count("__v").alias("__n"))
-    for slot, keep in ((-1, F.lit(True)), (0, F.col("__n") == 0)):
-        spans = spans.unionByName(
-            lead_row.where(keep).select(
-                "__g", F.lit(slot).alias("__s"), (-infinity).alias("__from"), infinity.alias("__to"),
-                "__low", nothing.alias("__high"),
-            )
-        )
-    return spans, grid
+    best = Window.partitionBy("__g", "__v").orderBy(F.col(tie).desc(), *[F.col(c) for c in then])
+    rows = right.where(F.col(on).isNotNull()).withColumns({"__g": F.col(on), "__v": F.col(value).cast("double")})
+    rows = rows.withColumn("__rn", F.row_number().over(best)).where("__rn = 1")
+    return materialize(rows.select("__g", "__v", tie, *then, payload.alias("__row")), "nearest")

@@ -9,8 +9,10 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler, StandardScaler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from staylytics.operators.features import fill_numeric
+from staylytics.sources.staging import materialize
 from staylytics.sources.tables import literal_table
 
 
@@ -106,9 +108,20 @@ def importances(model: PipelineModel) -> DataFrame:
 
 
 def encode_alphabetical(df: DataFrame, cols: Sequence[str], missing: str = "missing") -> DataFrame:
-    """Replace each category by its position in alphabetical order; null counts as ``missing``."""
-    filled = fill_numeric(df).na.fill(missing, subset=list(cols))
-    codes = [f"__{c}" for c in cols]
-    indexer = StringIndexer(inputCols=list(cols), outputCols=codes, stringOrderType="alphabetAsc")
-    coded = indexer.fit(filled.select(*cols)).transform(filled)
-    return coded.select(*[F.col(f"__{c}").cast("int").alias(c) if c in cols else F.col(c) for c in df.columns])
+    """Replace each category by its position in alphabetical order; null counts as ``missing``.
+
+    The labels are numbered as a table and joined, so none of them passes through the driver. A column of very many labels
+    (one that is no category) is sorted by range first; a label's number is its place in its range plus the sizes of those before.
+    """
+    coded = fill_numeric(df).na.fill(missing, subset=list(cols))
+    for c in cols:
+        labels = coded.select(F.col(c).alias("__label")).distinct().repartitionByRange("__label")
+        labels = materialize(labels.withColumn("__part", F.spark_partition_id()), "labels")
+        sizes = labels.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+        before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+        starts = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+        place = F.row_number().over(Window.partitionBy("__part").orderBy("__label")) - 1
+        codes = materialize(labels.withColumn("__place", place).join(starts, "__part"), "codes")
+        codes = codes.select("__label", (F.col("__start") + F.col("__place")).cast("int").alias("__code"))
+        coded = coded.join(codes, coded[c] == codes["__label"]).withColumn(c, F.col("__code")).drop("__label", "__code")
+    return coded.select(*df.columns)

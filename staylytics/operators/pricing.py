@@ -50,6 +50,7 @@ def quote(
     amenities = reduce(
         lambda a, b: a + b,
         [F.when(F.col(c).cast("int") == 1, v).otherwise(0) for c, v in rules["amenity_values"].items() if c in cols],
+        F.lit(0),
     )
     price = room_base
     price = price * (1 + (F.col("accommodates") - rules["free_guests"]) * rules["guest_step"])

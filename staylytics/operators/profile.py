@@ -13,8 +13,7 @@ from staylytics.operators.quantiles import quantile_table
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
-    kinds = (T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)]
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
 def string_columns(df: DataFrame) -> list[str]:
@@ -82,7 +81,7 @@ def target_summary(df: DataFrame, col: str, exact: bool = True, accuracy: int =
 
 
 def correlations(
-    df: DataFrame, target: str, cols: Sequence[str] | None = None, limit: int | None = 30
+    df: DataFrame, target: str, cols: Sequence[str] | None = None, limit: int | None = None
 ) -> DataFrame:
     """Correlation of ``target`` with each numeric column, all from one scan; undefined ones left out.
 

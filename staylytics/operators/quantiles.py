@@ -8,7 +8,8 @@ Two passes over ``(by, value)``:
    of a group, stays separate, so even a group with a third of all rows shrinks
    to a few rows per task before the shuffle.
 
-The wanted order statistic is then read off the running count. A bracket that
+The counted values are cut into ranges of about equal size; the counts before each range tell in
+which one the wanted order statistic lies, and only that range is read in order. A bracket that
 misses its rank is widened and the pass repeated, so the result is exact for any
 input.
 """
@@ -95,12 +96,22 @@ def _order_statistics(rows: DataFrame, probs: Sequence[float], by: list[str], wi
     marked = attach(rows, sketch, by).select(*by, F.inline(F.array(*marks)))
     counted = marked.groupBy(*by, "i", "part", "v").agg(F.count(F.lit(1)).alias("c"))
 
+    # ranges of the counted values, about equal in rows, with the counts that lie before each
+    counted = counted.repartitionByRange(*by, "i", "part", "v").withColumn("__p", F.spark_partition_id())
+    counted = materialize(counted, "counted")
+    sizes = counted.groupBy(*by, "i", "__p").agg(F.sum("c").alias("s"))
     group = Window.partitionBy(*by, "i")
-    ordered = group.orderBy("part", "v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counted.withColumns({"n": F.sum("c").over(group), "upto": F.sum("c").over(ordered)})
+    earlier = group.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumns({"base": F.coalesce(F.sum("s").over(earlier), F.lit(0)), "n": F.sum("s").over(group)})
     wanted = F.lit(None).cast("bigint")
     for i, p in enumerate(probs):
         wanted = F.when(F.col("i") == i, _disc_rank(p, F.col("n"))).otherwise(wanted)
-    hit = ranked.where((F.col("upto") >= wanted) & (F.col("upto") - F.col("c") < wanted))
+    target = sizes.withColumn("rank", wanted).where("base < rank and rank <= base + s")
+    target = materialize(target.select(*by, "i", "__p", "base", "rank"), "ranges")
+    # only the range with the wanted rank is put in order
+    inside = match_keys(counted, target, [*by, "i", "__p"])
+    ordered = group.orderBy("part", "v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = inside.withColumn("upto", F.col("base") + F.sum("c").over(ordered))
+    hit = ranked.where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("c") < F.col("rank")))
     picks = [F.max(F.when(F.col("i") == i, F.col("v"))) for i in range(len(probs))]
     return hit.groupBy(*by).agg(F.array(*picks).alias("__q"))

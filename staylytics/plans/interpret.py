@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from staylytics.operators import explain
 from staylytics.operators.models import feature_names
@@ -24,12 +25,14 @@ def interpret(
     positions: Sequence[int] = POSITIONS,
     top: int = 20,
     curves: int = 6,
+    curve_side: str | None = "train",
     store: Callable[[DataFrame, str], DataFrame] = materialize,
 ) -> dict[str, DataFrame]:
     """Attributions, importances, local explanations, dependence curves and the model comparison.
 
     Attributions cover every test row. ``store`` writes them once, since several
-    reports read them; curves use the ``curves`` strongest features of the tree model.
+    reports read them; curves use the ``curves`` strongest features of the tree model and the rows of
+    ``curve_side`` (all rows if it is None).
     """
     rows = table.where("split = 'test'") if "split" in table.columns else table
     by_line = store(explain.linear_attributions(linear, rows, key, [target]), "linear_attributions")
@@ -45,9 +48,10 @@ def interpret(
             by_tree, key, explain.keys_at(rows, key, positions), top, [target]
         ),
     }
+    behind = table if curve_side is None or "split" not in table.columns else table.where(F.col("split") == curve_side)
     inputs = [c for c in feature_names(trees) if not c.endswith("_indexed")]
     strongest = [r["feature"] for r in top_k(tree_rank, "importance", curves, then="feature").collect()]
     for name in strongest:
         column = name if name in inputs else name.removesuffix("_indexed")
-        out[f"dependence_{column}"] = explain.partial_dependence(trees, rows, column)
+        out[f"dependence_{column}"] = explain.partial_dependence(trees, behind, column)
     return out

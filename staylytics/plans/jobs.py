@@ -15,18 +15,20 @@ from staylytics import constants as K
 from staylytics.operators import models, pricing, results
 from staylytics.operators.cleaning import keep_rate
 from staylytics.plans import explore, interpret, prepare, train
-from staylytics.sources import read_sources, read_table, write_table
+from staylytics.sources import folders, read_sources, read_table, write_table
 
 LOOKUP_SCHEMA = "city string, neighbourhood_cleansed string, lat double, lng double, n bigint, dist_km double"
 SEGMENT_SCHEMA = "city string, avg_price double"
 
 
 def _write_report(df: DataFrame, path: str) -> None:
-    write_table(df, path, "csv", single_file=True)
+    """As many files as the report's tasks: some reports grow with the data."""
+    write_table(df, path, "csv")
 
 
-def clean(spark: SparkSession, raw: str, out: str, cities: Sequence[str] = K.LOOKUP_CITIES, multi_line: bool = True) -> None:
-    """``<raw>/<city>/listings.csv`` of every city that has one to the unified, cleaned table."""
+def clean(spark: SparkSession, raw: str, out: str, cities: Sequence[str] | None = None, multi_line: bool = True) -> None:
+    """``<raw>/<city>/listings.csv`` of every city (by default each folder under ``raw``) to the unified, cleaned table."""
+    cities = folders(spark, raw) if cities is None else cities
     paths = {c: f"{raw}/{c}/listings.csv" for c in cities}
     sources = read_sources(spark, paths, "csv", on_missing="skip", multi_line=multi_line)
     combined = prepare.combine_sources(sources)
@@ -79,14 +81,19 @@ def evaluate(spark: SparkSession, out: str) -> None:
     write_table(metrics, f"{out}/evaluation/metrics_long")
 
 
-def explain(spark: SparkSession, out: str) -> None:
-    fitted = [models.load(f"{out}/models/{name}") for name in ("baseline", "gbt")]
+def explain(spark: SparkSession, out: str, **gbt_params) -> None:
+    """Explain a line and trees trained on one shared list of features, so that their rankings can be compared."""
+    df = read_table(spark, f"{out}/features")
+    chosen = train.explain_features(df)
+    write_table(train.training_rows(df, chosen.all), f"{out}/explain/training", partition_by=["split"])
+    table = read_table(spark, f"{out}/explain/training")
+    fitted = [train.train_baseline(table, chosen), train.train_gbt(table, chosen, **gbt_params)]
 
     def store(df: DataFrame, name: str) -> DataFrame:
         write_table(df, f"{out}/explain/{name}")
         return read_table(spark, f"{out}/explain/{name}")
 
-    found = interpret.interpret(*fitted, read_table(spark, f"{out}/training"), store=store)
+    found = interpret.interpret(*fitted, table, store=store)
     for name, report in found.items():
         if not name.endswith("_attributions"):
             _write_report(report, f"{out}/explain/{name}")
@@ -97,8 +104,8 @@ def quote(spark: SparkSession, out: str, requests: DataFrame) -> DataFrame:
     segments = read_table(spark, f"{out}/evaluation/city_performance", "csv", SEGMENT_SCHEMA)
     base = segments.select("city", F.col("avg_price").try_cast("double").alias("avg_price"))
     metrics = read_table(spark, f"{out}/evaluation/metrics", "csv", "model string, r2 double")
-    found = metrics.where("model = 'gbt'").agg(F.max(F.col("r2").try_cast("double")).alias("r2"))
-    r2 = F.coalesce(found.select("r2").scalar(), F.lit(K.DEFAULT_R2))
+    r2 = F.when(F.count(F.lit(1)) == 0, K.DEFAULT_R2).otherwise(F.max(F.col("r2").try_cast("double")))
+    r2 = metrics.where("model = 'gbt'").agg(r2.alias("r2")).scalar()
     found = read_table(spark, [f"{out}/lookup.csv", f"{out}/lookup"], "csv", LOOKUP_SCHEMA)
     places = found.select(*[F.col(n).try_cast(t).alias(n) for n, t in (f.split() for f in LOOKUP_SCHEMA.split(", "))])
     return pricing.quote_with_location(requests, places, base, r2=r2)

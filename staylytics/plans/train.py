@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from staylytics import constants as K
 from staylytics.functions import band
-from staylytics.operators import evaluate, models, results, selection
+from staylytics.operators import evaluate, models, profile, results, selection
 from staylytics.operators.cleaning import quantile_trim
 from staylytics.operators.split import hash_split
 from staylytics.sources import materialize
@@ -28,8 +28,19 @@ class Features:
         return [*self.numeric, *self.categorical]
 
 
-def baseline_features(df: DataFrame) -> Features:
-    chosen = Features(selection.select_numeric(df), selection.select_categorical(df))
+def baseline_features(df: DataFrame, target: str = "price_clean") -> Features:
+    """The numeric columns most correlated with the target, and every category column that passes the gate."""
+    names = selection.select_numeric(df, target, limit=None)
+    ranking = materialize(profile.correlations(df, target, names), "ranking")
+    chosen = Features(selection.select_numeric(df, target, ranking=ranking), selection.select_categorical(df, limit=None))
+    selection.assert_no_leak(chosen.all)
+    return chosen
+
+
+def explain_features(df: DataFrame) -> Features:
+    """One list for both explained models, so that their importances rank the same features."""
+    numeric = selection.select_preferred(df, banned=K.EXPLAIN_BANNED, min_n=0)
+    chosen = Features(numeric, selection.select_categorical(df, K.EXPLAIN_CATEGORICAL))
     selection.assert_no_leak(chosen.all)
     return chosen
 

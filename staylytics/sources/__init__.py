@@ -3,6 +3,7 @@
 from staylytics.sources.staging import drop_staged, materialize, scratch_path
 from staylytics.sources.tables import (
     centers_table,
+    folders,
     literal_table,
     path_exists,
     read_listings,
@@ -14,6 +15,7 @@ from staylytics.sources.tables import (
 __all__ = [
     "centers_table",
     "drop_staged",
+    "folders",
     "literal_table",
     "materialize",
     "path_exists",

@@ -22,6 +22,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return matches is not None and len(matches) > 0
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders under ``path``, in order, on any file system Spark can reach."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(jvm_path):
+        raise FileNotFoundError(f"missing input: {path}")
+    return sorted(s.getPath().getName() for s in fs.listStatus(jvm_path) if s.isDirectory())
+
+
 def _present(spark: SparkSession, paths: Iterable[str], on_missing: str) -> list[str]:
     if on_missing not in ("fail", "skip"):
         raise ValueError(f"on_missing must be 'fail' or 'skip', not {on_missing!r}")
@@ -92,7 +101,6 @@ def write_table(
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
     single_file: bool = False,
-    single_file_rows: int = 1_000_000,
     max_records_per_file: int | None = None,
     rebalance: bool = False,
 ) -> None:
@@ -104,14 +112,11 @@ def write_table(
     execution splits one that holds much of the table. With few values each task
     writes large files anyway and the shuffle would be wasted.
 
-    ``single_file`` is for small result tables: the table is staged and counted first,
-    and one with more than ``single_file_rows`` rows keeps its many files, so that no
-    large table is ever squeezed through one task.
+    ``single_file`` gives one file, written by one task: ask for it only where the rows are
+    bounded, as those of a metrics table are. The table is staged first, so only that last copy is one task.
     """
     if single_file:
-        df = materialize(df, "single")
-        if df.count() <= single_file_rows:
-            df = df.coalesce(1)
+        df = materialize(df, "single").coalesce(1)
     if rebalance:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").format(fmt)

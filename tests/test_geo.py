@@ -50,11 +50,28 @@ def test_uneven_values_and_one_hot_request(spark):
     assert run(spark, left, right) == brute(left, right)
 
 
-def test_slots_are_capped(spark, monkeypatch):
-    monkeypatch.setattr(geo, "MAX_SLOTS", 4)
-    right = [("a", i * 0.7, i % 3, f"k{i}") for i in range(60)]
-    left = [(i, "a", i * 0.31 - 2) for i in range(200)]
+def test_an_outlier_leaves_the_ranges_even(spark):
+    """Ranges follow the rows: one far value, or one crowded request, must not fill a task."""
+    right = [("a", i * 0.7, i % 3, f"k{i}") for i in range(400)] + [("a", 1e12, 0, "far")]
+    left = [(i, "a", i * 0.31 - 2) for i in range(600)] + [(1000 + i, "a", 17.0) for i in range(600)]
     assert run(spark, left, right) == brute(left, right)
+    seen = []
+    keep = geo.materialize
+
+    def watch(df, name="stage", *more):
+        out = keep(df, name, *more)
+        if name == "line":
+            seen.extend(r["count"] for r in out.groupBy("__part").count().collect())
+        return out
+
+    geo.materialize = watch
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert run(spark, left, right) == brute(left, right)
+    finally:
+        geo.materialize = keep
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(seen) > 1 and max(seen) < 2.5 * sum(seen) / len(seen)
 
 
 def test_lookup(spark):

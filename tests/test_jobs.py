@@ -30,7 +30,7 @@ def test_stages(spark, sf_dir, tmp_path):
 
     jobs.fit(spark, out, depth=3, iters=3)
     jobs.evaluate(spark, out)
-    jobs.explain(spark, out)
+    jobs.explain(spark, out, depth=3, iters=3)
     metrics = {r["model"]: float(r["r2"]) for r in read_table(spark, f"{out}/evaluation/metrics", "csv").collect()}
     assert set(metrics) == {"baseline", "gbt"}
     assert read_table(spark, f"{out}/evaluation/metrics_long").count() == 40

@@ -8,6 +8,7 @@ import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
+from staylytics import constants as K
 from staylytics.operators import evaluate, explain, features, models, profile, results, selection, split
 from staylytics.plans import interpret, train
 from staylytics.sources import centers_table
@@ -90,8 +91,12 @@ def test_improvement_is_symmetric_in_direction(spark):
     worse = evaluate.improvement(df, "gbt", "baseline").first()
     assert all(better[c] * worse[c] < 0 for c in better.asDict())
     assert tuple(evaluate.winner(evaluate.improvement(df)).first())[:2] == ("gbt", "use gbt")
-    table = {r["metric"]: (r["baseline"], r["gbt"]) for r in evaluate.comparison(df.where("model = 'gbt'")).collect()}
+    table = {r["metric"]: (r["baseline"], r["gbt"]) for r in evaluate.comparison(df.where("model = 'gbt'"), defaults=K.DEFAULT_METRICS).collect()}
     assert table["rmse"] == (89.45, 8.0) and table["mape"] == (34.56, 15.0)
+    undefined = df.withColumn("r2", F.lit(None).cast("double"))
+    for defaults in (None, K.DEFAULT_METRICS):
+        table = {r["metric"]: (r["baseline"], r["gbt"]) for r in evaluate.comparison(undefined, defaults=defaults).collect()}
+        assert table["r2"] == (None, None) and table["rmse"] == (10.0, 8.0)
     negative = df.withColumn("r2", F.when(F.col("model") == "baseline", -0.1).otherwise(F.col("r2")))
     assert evaluate.improvement(negative).first()["r2_gain_pct"] == 50.0
 
@@ -188,6 +193,13 @@ def test_importance_ranks_share_ties(spark):
     assert got == {"x": (1.0, 3.0, 2.0, "consistent"), "y": (2.5, 2.0, -0.5, "consistent"), "z": (2.5, 1.0, -1.5, "consistent")}
 
 
+def test_compare_importances_keeps_what_one_model_lacks(spark):
+    a = spark.createDataFrame([("x", 0.2), ("only_a", 0.8)], "feature string, importance double")
+    b = spark.createDataFrame([("x", 0.2), ("only_b", 0.8)], "feature string, importance double")
+    got = {r["feature"]: (r["gb_rank"], r["lr_rank"]) for r in explain.compare_importances(a, b).collect()}
+    assert got == {"only_a": (1.0, 3.0), "x": (2.0, 2.0), "only_b": (3.0, 1.0)}
+
+
 def test_encode_alphabetical(spark):
     df = spark.createDataFrame([("b", 1), (None, None), ("a", 3)], "c string, n int")
     assert [tuple(r) for r in models.encode_alphabetical(df, ["c"]).collect()] == [(1, 1), (2, 0), (0, 3)]

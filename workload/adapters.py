@@ -96,15 +96,8 @@ def stage(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     return _staged[key]
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Use every core although the file has fewer splits; a scan of many splits stays as it is."""
-    tasks = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
-
-
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {n: table(spark, sf_dir, n) for n in _PLAIN}
-    tables["orders"] = _spread(tables["orders"])
     return stage(spark, sf_dir, "listings", lambda: spark.sql(_LISTINGS, **tables))
 
 

@@ -12,7 +12,7 @@ from staylytics.operators import geo
 from staylytics.plans import prepare
 from staylytics.sources import centers_table
 from workload.adapters import REQUESTS_SQL, listings, requests, stage
-from workload.clean import WITH_L, WITH_PRICED
+from workload.clean import WITH_CLEAN, WITH_L, WITH_PRICED, cleaned
 from workload.registry import query, rounded, rounded_sql, table
 
 AS_OF = "2024-01-01"
@@ -23,8 +23,8 @@ def priced(spark, sf_dir):
 
 
 def engineered(spark, sf_dir):
-    """The stored feature table that profiling and models read."""
-    return stage(spark, sf_dir, "engineered", lambda: prepare.features(priced(spark, sf_dir), AS_OF))
+    """The stored feature table of cleaned listings that profiling and models read."""
+    return stage(spark, sf_dir, "engineered", lambda: prepare.features(cleaned(spark, sf_dir), AS_OF))
 
 
 # --- the same expressions in SQL --------------------------------------------------
@@ -160,11 +160,14 @@ ENGINEERED_COLUMNS = [
     *CAPACITY, "bathrooms_text", *AVAILABILITY, *COUNTS, "review_scores_rating", "review_scores_location", "name",
     *HOST, *BATHS, *AMENITIES, *RATES, *REVIEWS, *TEXT, *DISTANCE, *PRICES, *ROOMS,
 ]
-ENGINEERED_SQL = f"{WITH_PRICED} select {_columns({c: NUMERIC_SQL.get(c, c) for c in ENGINEERED_COLUMNS})} from p"
+_ENGINEERED = _columns({c: NUMERIC_SQL.get(c, c) for c in ENGINEERED_COLUMNS})
+# of every listing as it is, and of the cleaned ones
+RAW_ENGINEERED_SQL = f"{WITH_PRICED} select {_ENGINEERED} from p"
+ENGINEERED_SQL = f"{WITH_CLEAN} select {_ENGINEERED} from c"
 ENGINEERED_TEXT = [*_TEXT_COLUMNS, *_OTHER_TEXT]
 
 
-@query(rounded_sql(ENGINEERED_SQL, _DOUBLES))
+@query(rounded_sql(RAW_ENGINEERED_SQL, _DOUBLES))
 def engineered_features(spark, sf_dir):
     return rounded(prepare.features(priced(spark, sf_dir), AS_OF))
 
