@@ -64,8 +64,7 @@ class TokenTree:
     def counts(self) -> list[int]:
         return self.tree[self.room : self.room + len(self.leaves)]
 
-    def _set(self, leaf: int, text: str, count: int) -> None:
-        self.leaves[leaf] = text
+    def _set(self, leaf: int, count: int) -> None:
         at = self.room + leaf
         self.tree[at] = count
         while at > 1:
@@ -87,7 +86,7 @@ class TokenTree:
         if not self.leaves and kept:
             self.__init__("".join(e[2] for e in kept), self.bpe, self.leaf_chars)
             return len(self.text)
-        again, merged = 0, len(ends) - 1
+        dirty, merged = set(), len(ends) - 1
         for start, end, new in reversed(kept):  # so that positions further left stay valid
             a = min(bisect_right(ends, start), merged)
             b = min(max(a, bisect_right(ends, max(start, end - 1))), len(ends) - 1)
@@ -101,11 +100,11 @@ class TokenTree:
                 a -= 1
                 region = self.leaves[a] + region
             merged = a
-            again += len(region)
-            self._set(a, region, self._count(region) if region else 0)
-            for i in range(a + 1, b + 1):
-                self._set(i, "", 0)
-        return again
+            self.leaves[a : b + 1] = [region, *[""] * (b - a)]
+            dirty.update(range(a, b + 1))
+        for i in dirty:  # once, however many edits met in a leaf
+            self._set(i, self._count(self.leaves[i]) if self.leaves[i] else 0)
+        return sum(len(self.leaves[i]) for i in dirty)
 
 
 def edited_counts(
@@ -120,6 +119,7 @@ def edited_counts(
     """(id, n_tokens, n_edits, n_tokens_edited, n_leaves, n_chars, n_chars_again) per row, over whole texts.
 
     Edits come from a function of the text or from an array column of (start, end, replacement); without either there are none.
+    An edit without a start or end is none, and a null replacement is empty.
     ``n_chars_again`` is what had to be encoded for the edits. A null text is empty and has no tokens. Repeated rows are counted each,
     ids (null too) are passed on, other columns are not read, and an empty table gives an empty table.
     """
@@ -132,7 +132,7 @@ def edited_counts(
             for i in range(batch.num_rows):
                 text = batch.column(1)[i].as_py() or ""
                 if edits_column:
-                    wanted = [(e["start"], e["end"], e["replacement"] or "") for e in batch.column(2)[i].as_py() or [] if e]
+                    wanted = [(e["start"], e["end"], e["replacement"] or "") for e in batch.column(2)[i].as_py() or [] if None not in (e["start"], e["end"])]
                 else:
                     wanted = list(edits(text)) if edits else []
                 tree = TokenTree(text, bpe, leaf_chars)
