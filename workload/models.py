@@ -172,3 +172,105 @@ def model_quote(spark, sf_dir):
     )
     priced = models.score(models.load(path), asked, "predicted_price")
     return rounded(priced.select("request_id", "city", "room_type", "predicted_price"))
+
+
+# --- models small enough for SQL to state ---------------------------------------------
+_SPLIT = "case when concat('0x', substr(md5(concat('42|', o_orderkey)), 1, 8))::ubigint % 100 < 80 then 'train' else 'test' end"
+_ORDERS = f"""with t as (select o_orderkey, o_orderpriority, o_totalprice, o_custkey, cast(o_custkey % 3 = 0 as int) as third,
+  {_SPLIT} as split from orders)"""
+_MEANS = f"{_ORDERS}, g as (select third, avg(o_totalprice) as mean from t where split = 'train' group by third)"
+
+
+def _orders(spark, sf_dir):
+    df = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice", "o_custkey")
+    return hash_split(df.withColumn("third", (F.col("o_custkey") % 3 == 0).cast("int")), "o_orderkey")
+
+
+def _stump(spark, sf_dir):
+    """One tree with one split on a 0/1 column: its leaves are group means."""
+    pipeline = models.gbt_pipeline(["third"], target="o_totalprice", depth=1, iters=1, subsample=1.0)
+    return _once(spark, sf_dir, "stump", lambda: models.fit(pipeline, _orders(spark, sf_dir)))
+
+
+@query(
+    f"""{_ORDERS}, n as (select o_orderpriority, row_number() over (order by count(*) desc, o_orderpriority) - 1 as i from t where split = 'train' group by 1)
+select o_orderkey, o_orderpriority, cast(i as double) as code from t join n using (o_orderpriority)"""
+)
+def category_index(spark, sf_dir):
+    """Categories are numbered by frequency in the training rows, then by name."""
+    rows = _orders(spark, sf_dir)
+    pipeline = models.gbt_pipeline([], ["o_orderpriority"], "o_totalprice", depth=1, iters=1)
+    coded = models.fit(pipeline, rows).transform(rows)
+    return coded.select("o_orderkey", "o_orderpriority", F.col("o_orderpriority_indexed").alias("code"))
+
+
+@query(rounded_sql(f"{_MEANS} select o_orderkey, split, mean as prediction from t join g using (third)", ["prediction"], 3))
+def tree_group_means(spark, sf_dir):
+    """Predictions of the one-split tree, saved and loaded again."""
+    path = scratch_path(spark, "stump")
+    models.save(_stump(spark, sf_dir), path)
+    scored = models.score(models.load(path), _orders(spark, sf_dir))
+    return rounded(scored.select("o_orderkey", "split", "prediction"), 3)
+
+
+@query(
+    rounded_sql(
+        f"""{_MEANS}, e as (select split, o_totalprice as y, mean as p from t join g using (third))
+select split, 'model' as model, sqrt(avg((y - p) * (y - p))) as rmse, avg(abs(y - p)) as mae,
+1 - sum((y - p) * (y - p)) / (sum(y * y) - sum(y) * sum(y) / count(*)) as r2,
+avg(case when y <> 0 then abs(y - p) / abs(y) end) * 100 as mape, count(*) as n_samples from e group by split""",
+        ["rmse", "mae", "r2", "mape"],
+        3,
+    )
+)
+def tree_metrics_by_split(spark, sf_dir):
+    scored = models.score(_stump(spark, sf_dir), _orders(spark, sf_dir))
+    found = evaluate.regression_metrics(scored, "o_totalprice", {"model": "prediction"}, ["split"])
+    return rounded(found.select("split", "model", "rmse", "mae", "r2", "mape", "n_samples"), 3)
+
+
+@query(
+    rounded_sql(
+        f"""{_MEANS}, b as (select avg(o_totalprice) as base from t where split = 'train')
+select o_orderkey, mean as prediction, base as base_value, 'third' as feature, third::double as value, mean - base as contribution
+from t join g using (third), b where split = 'test'""",
+        ["prediction", "base_value", "contribution"],
+        3,
+    )
+)
+def tree_attribution_means(spark, sf_dir):
+    """With one feature its contribution is the leaf's mean minus the mean of the training rows."""
+    test = _orders(spark, sf_dir).where("split = 'test'")
+    found = explain.tree_attributions(_stump(spark, sf_dir), test, "o_orderkey")
+    return rounded(found.select("o_orderkey", "prediction", "base_value", F.inline("attributions")), 3)
+
+
+@query(rounded_sql(f"{_MEANS} select 'third' as feature, third::double as value, mean as avg_prediction from g", ["avg_prediction"], 3))
+def tree_dependence_means(spark, sf_dir):
+    rows = _orders(spark, sf_dir).where("split = 'test'")
+    found = explain.partial_dependence(_stump(spark, sf_dir), rows, "third")
+    return rounded(found.withColumn("value", F.col("value").cast("double")), 3)
+
+
+@query("select 'third' as feature, 1.0::double as importance from (select count(*) as n from orders) where n > 0")
+def tree_importance_of_one(spark, sf_dir):
+    return rounded(models.importances(_stump(spark, sf_dir)))
+
+
+_TWO = f"""{_ORDERS}, s as (select third::double as a, o_custkey::double as b, o_totalprice as y from t where split = 'train'),
+m as (select var_pop(a) as aa, var_pop(b) as bb, covar_pop(a, b) as ab, covar_pop(a, y) as ay, covar_pop(b, y) as yb,
+      stddev_samp(a) as sa, stddev_samp(b) as sb from s)"""
+
+
+@query(
+    rounded_sql(
+        f"""{_TWO} select 'third' as feature, (ay * bb - yb * ab) / (aa * bb - ab * ab) * sa as coefficient from m
+union all select 'o_custkey', (yb * aa - ay * ab) / (aa * bb - ab * ab) * sb from m""",
+        ["coefficient"],
+        2,
+    )
+)
+def two_feature_coefficients(spark, sf_dir):
+    """Coefficients of the scaled columns, by the normal equations."""
+    pipeline = models.linear_pipeline(["third", "o_custkey"], target="o_totalprice")
+    return rounded(models.coefficients(models.fit(pipeline, _orders(spark, sf_dir))), 2)

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from staylytics.functions import pretty
 from staylytics.operators import models, results
-from staylytics.sources import read_listings, read_table, scratch_path, write_table
+from staylytics.sources import literal_table, read_listings, read_table, scratch_path, write_table
 from workload.adapters import listings
 from workload.clean import WITH_L
 from workload.evaluate import _MEASURES, PREDS, WITH_SCORED, _metrics, metrics_sql, scored
 from workload.profile import FEATURE_CORR_SQL, feature_correlations
-from workload.registry import query, rounded, rounded_sql
+from workload.registry import query, rounded, rounded_sql, table
 
 _STRENGTH = f"select \"column\" as feature, abs(correlation) as importance from ({FEATURE_CORR_SQL})"
 
@@ -92,3 +92,31 @@ def metrics_sink(spark, sf_dir):
     long = results.metrics_long(_metrics(spark, sf_dir), "formulas")
     write_table(long, path, "json", single_file=True)
     return rounded(read_table(spark, path, "json", schema=results.METRIC_SCHEMA))
+
+
+@query("select r_regionkey, r_name, r_name || ', \"' || r_regionkey || '\"' as label from region")
+def single_file_csv(spark, sf_dir):
+    """A small table as one CSV file with quoted text, and back."""
+    path = scratch_path(spark, "one-file")
+    small = table(spark, sf_dir, "region").select("r_regionkey", "r_name", F.expr("concat(r_name, ', \"', r_regionkey, '\"')").alias("label"))
+    write_table(small.repartition(3), path, "csv", single_file=True)
+    back = read_table(spark, path, "csv")
+    if len(back.inputFiles()) != 1:
+        raise ValueError("one file was asked for")
+    return back.withColumn("r_regionkey", F.col("r_regionkey").cast("int"))
+
+
+@query("select n_name, v.w as weight from nation join (values (0, 1.5::double), (1, 2.5::double), (4, null)) v(k, w) on n_regionkey = v.k")
+def literal_table_join(spark, sf_dir):
+    """Given values as a table."""
+    weights = literal_table(spark, [(0, 1.5), (1, 2.5), (4, None)], "k int, weight double")
+    nation = table(spark, sf_dir, "nation")
+    return nation.join(weights, nation["n_regionkey"] == weights["k"]).select("n_name", "weight")
+
+
+@query("select s_suppkey, cast(null as double) as avg_price from supplier")
+def absent_table(spark, sf_dir):
+    """A result table that was never written is an empty one."""
+    absent = read_table(spark, scratch_path(spark, "never-written"), empty_schema="s_key bigint, avg_price double")
+    supplier = table(spark, sf_dir, "supplier")
+    return supplier.join(absent, supplier["s_suppkey"] == absent["s_key"], "left").select("s_suppkey", "avg_price")
