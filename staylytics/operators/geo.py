@@ -68,7 +68,8 @@ def nearest_in_group(
     known = best.where("__v is not null").select(
         "__g", "__v", F.lit(0).alias("__side"), F.lit(0).cast("bigint").alias("__salt"), F.lit(None).cast(asked.schema["__left"].dataType).alias("__left"), "__row"
     )
-    line = known.unionByName(asked.where("__g is not null and __v is not null"))
+    # rows without a group or value go along; their salt spreads them over ranges as well
+    line = known.unionByName(asked)
     line = line.repartitionByRange("__g", "__v", "__side", "__salt").withColumn("__part", F.spark_partition_id())
     line = materialize(line, "line")
 
@@ -84,17 +85,15 @@ def nearest_in_group(
     inside = Window.partitionBy("__g", "__part")
     low = F.last(entry, ignorenulls=True).over(inside.orderBy("__v", "__side", "__salt").rowsBetween(Window.unboundedPreceding, 0))
     high = F.last(entry, ignorenulls=True).over(inside.orderBy(F.desc("__v"), "__side", "__salt").rowsBetween(Window.unboundedPreceding, 0))
-    seen = line.withColumns({"__low": low, "__high": high}).where("__side = 1").join(edges, ["__g", "__part"])
+    seen = line.withColumns({"__low": low, "__high": high}).where("__side = 1").join(edges, ["__g", "__part"], "left")
 
     def candidate(end: Column) -> Column:
         row = end["row"]
         order = [F.abs(end["v"] - F.col("__v")).alias("d"), (-row[tie_desc]).alias("t"), *[row[c].alias(f"k{i}") for i, c in enumerate(then)]]
-        return F.when(end.isNotNull(), F.struct(*order, row.alias("row")))
+        return F.when(end.isNotNull() & F.col("__v").isNotNull(), F.struct(*order, row.alias("row")))
 
     ends = [candidate(F.coalesce(a, b)) for a, b in ((F.col("__low"), F.col("__before")), (F.col("__high"), F.col("__after")))]
-    found = seen.select("__left", F.col("__g"), F.least(*ends)["row"].alias("__row"))
-    rest = asked.where("__g is null or __v is null").select("__left", "__g", "__row")
-    every = found.unionByName(rest).join(lead, "__g", "left")
+    every = seen.select("__left", "__g", F.least(*ends)["row"].alias("__row")).join(lead, "__g", "left")
     picked = F.coalesce("__row", "__lead")
     extra = [c for c in right.columns if c != on]
     return every.select(*[F.col("__left")[c].alias(c) for c in left.columns], *[picked[c].alias(c) for c in extra])
