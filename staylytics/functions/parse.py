@@ -71,7 +71,7 @@ def first_number(col: Column | str) -> Column:
 
 def list_text(col: Column | str) -> Column:
     """Strip list punctuation from a list stored as text."""
-    return F.regexp_replace(as_column(col), r'[\[\]{}"]', "")
+    return F.translate(as_column(col), '[]{}"', "")
 
 
 def _token_count(text: Column, separator: str, null_size: int) -> Column:

@@ -24,9 +24,13 @@ def clean_listings(
     k: float = 1.5,
     exact: bool = True,
     accuracy: int = 10_000,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Price, drop rows without price or position, one row per listing, outliers out, all cities at once.
 
+    ``columns`` are what the caller reads besides ``by``, ``keys`` and the price (default: all): with a few of them
+    neither the shuffle nor the staged table carries the rest. ``order_by`` must then be column names.
+
     A listing is unique within its city. Without ``order_by`` the surviving copy is
     the one with the smallest row hash: arbitrary, but the same in every run. The
     de-duplicated table is staged, so the one wide shuffle happens once and the
@@ -34,8 +38,13 @@ def clean_listings(
     """
     priced = df.withColumn("price_clean", clean_price("price"))
     present = drop_null_keys(priced, ["price_clean", "latitude", "longitude"])
-    order = list(order_by) if order_by else [F.xxhash64(*df.columns)]
-    unique = materialize(dedupe(present, [*by, *keys], order), "unique")
+    order = list(order_by) if order_by else ["__order"]
+    if not order_by:
+        present = present.withColumn("__order", F.xxhash64(*df.columns))
+    kept = [*df.columns, "price_clean"] if columns is None else list(dict.fromkeys([*by, *keys, *columns, "price_clean"]))
+    if columns is not None:
+        present = present.select(*dict.fromkeys([*kept, *order]))
+    unique = materialize(dedupe(present, [*by, *keys], order).select(*dict.fromkeys(kept)), "unique")
     return iqr_filter(unique, "price_clean", by, k, exact, accuracy)
 
 

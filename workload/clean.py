@@ -21,8 +21,8 @@ c as (select u.* from u join q using (city)
       where price_clean between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1))"""
 
 
-def cleaned(spark, sf_dir):
-    return prepare.clean_listings(scrapes(spark, sf_dir), order_by=["name"])
+def cleaned(spark, sf_dir, columns=None):
+    return prepare.clean_listings(scrapes(spark, sf_dir), order_by=["name"], columns=columns)
 
 
 @query(f"{WITH_PRICED} select id, price, round(price_clean, 6) as price_clean from p")
@@ -51,7 +51,7 @@ from b left join a using (city)""",
     )
 )
 def keep_rate(spark, sf_dir):
-    return rounded(cleaning.keep_rate(scrapes(spark, sf_dir), cleaned(spark, sf_dir), ["city"]))
+    return rounded(cleaning.keep_rate(scrapes(spark, sf_dir), cleaned(spark, sf_dir, []), ["city"]))
 
 
 _TRIM = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
@@ -105,4 +105,4 @@ min(price_clean) as min_price, max(price_clean) as max_price from c group by cit
     )
 )
 def city_price_stats(spark, sf_dir):
-    return rounded(profile.group_stats(cleaned(spark, sf_dir), "city", "price_clean"))
+    return rounded(profile.group_stats(cleaned(spark, sf_dir, []), "city", "price_clean"))

@@ -47,6 +47,10 @@ def trees(spark, sf_dir):
     return _once(spark, sf_dir, "gbt", lambda: train.train_gbt(training(spark, sf_dir), gbt))
 
 
+def quote_trees(spark, sf_dir):
+    return _once(spark, sf_dir, "quote", lambda: _quote_model(spark, sf_dir))
+
+
 def trees_inputs(spark, sf_dir):
     return chosen(spark, sf_dir)[1].all
 
@@ -166,7 +170,7 @@ def _quote_model(spark, sf_dir):
 def model_quote(spark, sf_dir):
     """Requests priced by a model that was saved and loaded again."""
     path = scratch_path(spark, "model")
-    models.save(_once(spark, sf_dir, "quote", lambda: _quote_model(spark, sf_dir)), path)
+    models.save(quote_trees(spark, sf_dir), path)
     asked = requests(spark, sf_dir).withColumnsRenamed(
         {"bathrooms": "bathrooms_numeric", "host_is_superhost": "host_is_superhost_binary"}
     )
