@@ -21,9 +21,11 @@ LEAST_SCORE = 0.5
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without an identified language; ``lang`` stays as given, so clean rows come back unchanged."""
     model = langid.fit(docs, ~held_out())
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    found = langid.identify(docs.select(row.alias("row"), "text"), model, id_column="row")
-    return found.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select("row.*")
+    own = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # names that no added column can have
+    text = own.columns[docs.columns.index("text")]
+    found = langid.identify(own, model, id_column="c0", text_column=text, carry=tuple(own.columns[1:]))
+    kept = found.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
+    return kept.select(*own.columns).toDF(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

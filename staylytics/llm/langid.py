@@ -183,13 +183,15 @@ def identify(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colu
     spark: SparkSession = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
     names = [id_column, *carry]
+    # a carried text goes to the workers once
+    at = names.index(text_column) if text_column in names else len(names)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shared.value.predict(x.as_py()) for x in batch.column(len(names))]
+            found = [shared.value.predict(x.as_py()) for x in batch.column(at)]
             arrays = [*batch.columns[: len(names)], pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*names, "lang_pred", "score"])
 
     schema = ", ".join(f"`{n}` {column_type(docs, n)}" for n in names)
-    rows = docs.select(*names, F.col(text_column).alias("__text"))
+    rows = docs.select(*names, *([] if at < len(names) else [F.col(text_column).alias("__text")]))
     return rows.mapInArrow(run, f"{schema}, lang_pred string, score double")
