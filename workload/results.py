@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from staylytics.functions import pretty
-from staylytics.operators import models, results
+from staylytics.operators import explain, models, profile, results
 from staylytics.sources import literal_table, read_listings, read_table, scratch_path, write_table
 from workload.adapters import listings
 from workload.clean import WITH_L
 from workload.evaluate import _MEASURES, PREDS, WITH_SCORED, _metrics, metrics_sql, scored
-from workload.profile import FEATURE_CORR_SQL, feature_correlations
+from workload.features import ENGINEERED_SQL, engineered
+from workload.profile import _FEATURES, FEATURE_CORR_SQL, corr_sql, feature_correlations
 from workload.registry import query, rounded, rounded_sql, table
 
 _STRENGTH = f"select \"column\" as feature, abs(correlation) as importance from ({FEATURE_CORR_SQL})"
@@ -49,6 +50,31 @@ def top_features(spark, sf_dir):
     return rounded(best.select("feature", pretty("feature").alias("label"), "importance"))
 
 
+_OTHERS = [c for c in [*_FEATURES, "price_clean"] if c != "number_of_reviews"]
+_REVIEW_STRENGTH = f"""with e as ({ENGINEERED_SQL}) select "column" as feature, abs(correlation) as importance
+from ({corr_sql('number_of_reviews', _OTHERS, 'e')}) where correlation is not null and not isnan(correlation)"""
+
+
+@query(
+    rounded_sql(
+        f"""with a as (select feature, round(importance, 2) as i from ({_STRENGTH})), b as (select feature, round(importance, 2) as i from ({_REVIEW_STRENGTH})),
+j as (select coalesce(a.feature, b.feature) as feature, coalesce(a.i, 0) as gb_importance, coalesce(b.i, 0) as lr_importance
+      from a full join b on a.feature = b.feature),
+r as (select *, rank() over (order by gb_importance desc) + (count(*) over (partition by gb_importance) - 1) / 2.0::double as gb_rank,
+        rank() over (order by lr_importance desc) + (count(*) over (partition by lr_importance) - 1) / 2.0::double as lr_rank from j)
+select *, lr_rank - gb_rank as rank_difference,
+case when abs(lr_rank - gb_rank) <= 3 then 'consistent' when abs(lr_rank - gb_rank) > 5 then 'different' else 'between' end as agreement from r""",
+        ["gb_importance", "lr_importance", "gb_rank", "lr_rank", "rank_difference"],
+    )
+)
+def importance_comparison_of_features(spark, sf_dir):
+    """All engineered features ranked by what goes with price and with reviews: ties, wide gaps, features of one side only."""
+    corr = profile.correlations(engineered(spark, sf_dir), "number_of_reviews", _OTHERS)
+    sides = [strengths(spark, sf_dir), corr.select(F.col("column").alias("feature"), F.abs("correlation").alias("importance"))]
+    sides = [d.select("feature", F.round("importance", 2).alias("importance")) for d in sides]
+    return rounded(explain.compare_importances(*sides))
+
+
 @query(
     f"{WITH_SCORED} select (select count(*) from ({_STRENGTH})) as features, count(distinct city) as cities from (select city from s group by city)"
 )
