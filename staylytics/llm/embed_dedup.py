@@ -93,7 +93,8 @@ def _block_links(classes: DataFrame, cells: int, threshold: float, block: int, s
     kind = column_type(classes, "vec")
     schema = f"cls {column_type(classes, 'cls')}, n long, lkey long, width int, vec {kind}, home long, guests array<long>"
     placed = materialize(classes.select("cls", "n", "lkey", "width", "vec").mapInArrow(place, schema), "placed")
-    spots = F.concat(F.array(F.struct(F.col("home").alias("cell"), F.lit(0).alias("guest"))), F.transform("guests", lambda g: F.struct(g.alias("cell"), F.lit(1).alias("guest"))))
+    at_home = F.array(F.struct(F.col("home").alias("cell"), F.lit(0).alias("guest")))
+    spots = F.concat(at_home, F.transform("guests", lambda g: F.struct(g.alias("cell"), F.lit(1).alias("guest"))))
     entries = placed.select("cls", "n", "lkey", "width", "vec", F.inline(spots))
     counts = entries.groupBy("lkey", "width", "cell").agg(F.sum(1 - F.col("guest")).alias("homes"), F.sum("guest").alias("guests"))
     counts = counts.where("homes + guests > 1 and homes > 0")
@@ -127,7 +128,15 @@ def _block_links(classes: DataFrame, cells: int, threshold: float, block: int, s
     return sorted_rows.mapInArrow(compare, "cls long, root long, n long")
 
 
-def _links(rows: np.ndarray, ids: np.ndarray, times: np.ndarray, threshold: float, other: np.ndarray | None = None, other_ids: np.ndarray | None = None, other_times: np.ndarray | None = None) -> list[tuple[int, int, int]]:
+def _links(
+    rows: np.ndarray,
+    ids: np.ndarray,
+    times: np.ndarray,
+    threshold: float,
+    other: np.ndarray | None = None,
+    other_ids: np.ndarray | None = None,
+    other_times: np.ndarray | None = None,
+) -> list[tuple[int, int, int]]:
     """(class, connected class, weighted links) of those rows of a block that have links."""
     one = other is None
     if one:

@@ -35,7 +35,7 @@ class Node:
     right: Node | None = None
 
 
-def _place(node: Node, leaf: dict[int, int] | None = None) -> Column:
+def _place(node: Node) -> Column:
     """The shard (first shard of the open node) of a row, as nested conditions on the keys."""
     if node.left is None:
         return F.lit(node.first)
