@@ -3,9 +3,9 @@
 A word becomes its template: a number, a unit after a number, or a name (a capitalised word
 inside a sentence) turns into a typed placeholder, anything else into its lower-case letters. Windows
 of five template words are hashed and joined with the windows of the benchmark. Matches of
-a document and an item lie on diagonals (document position minus item position), so an item
-is laid over the document where most of its windows agree: there the share of the item's windows is
-counted, and the slots are compared. Each slot value of the item must stand for one value of the
+a document and an item lie on diagonals (document position minus item position), and a word put in or left out moves
+what follows to a neighbouring one. So an item is laid over the document in pieces, by a band of diagonals where most of its
+windows agree: there the share of the item's windows is counted, and the slots are compared, each by the windows over it. Each slot value of the item must stand for one value of the
 document throughout, so a question asked again with other numbers is found and an accidental
 frame is not. Where most slots hold the item's own values it is a copy, and single changes don't matter.
 """
@@ -86,6 +86,44 @@ def few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def alignments(hits: DataFrame, share: float) -> DataFrame:
+    """(id, item, single, at, n_windows, n_matched, windows): where at least ``share`` of an item's windows agree.
+
+    One row for each diagonal that is enough by itself, and one for each band of diagonals that is: bands
+    are as wide as the item and overlap by half, so segments that words put in or left out have moved by up to half
+    the item's length against each other are counted together. ``windows`` lists (item_at, at): in a band each window takes the diagonal
+    that most windows of the band are on.
+    """
+    key, need = ["id", "item", "n_windows", "n_words"], F.ceil(F.col("n_windows") * F.lit(share))
+    enough = hits.groupBy(*key).agg(F.countDistinct("item_at").alias("n")).where(F.col("n") >= need).select("id", "item")
+    close = materialize(hits.join(enough, ["id", "item"]).distinct(), "close")
+    lines = close.groupBy(*key, "at").agg(F.count("*").alias("n"))
+    half = F.array(F.lit(0), F.floor(F.col("n_words") / 2).cast("int"))
+    bands = close.join(lines.select("id", "item", "at", "n"), ["id", "item", "at"]).select("*", F.posexplode(half).alias("side", "by"))
+    bands = bands.withColumn("band", F.floor((F.col("at") + F.col("by")) / F.col("n_words")))
+    bands = bands.groupBy(*key, "side", "band", "item_at").agg((-F.max(F.struct("n", (-F.col("at")).alias("at")))["at"]).alias("at"))
+    single = close.join(lines.where(F.col("n") >= need).select("id", "item", "at"), ["id", "item", "at"])
+    single = single.select(*key, F.lit(-1).alias("side"), F.col("at").cast("long").alias("band"), "item_at", "at")
+    both = single.union(bands.select(single.columns)).groupBy(*key, "side", "band")
+    both = both.agg(F.sort_array(F.collect_list(F.struct("item_at", "at"))).alias("windows")).withColumn("n_matched", F.size("windows"))
+    both = both.where(F.col("n_matched") >= need)
+    return both.select("id", "item", (F.col("side") < 0).alias("single"), F.element_at("windows", 1)["at"].alias("at"), "n_windows", "n_matched", "windows")
+
+
+def _values(i: Column, n: int) -> Column:
+    """The words of the document that may stand at word ``i`` of the item: by each matched window over it, else by the nearest one."""
+    over = F.filter("windows", lambda w: (w["item_at"] <= i) & (w["item_at"] > i - n))
+    away = F.transform("windows", lambda w: F.struct(F.abs(w["item_at"] - i).alias("by"), w["at"].alias("at")))
+    at = F.when(F.size(over) > 0, F.transform(over, lambda w: w["at"])).otherwise(F.array(F.array_min(away)["at"]))
+    places = F.filter(F.array_distinct(F.transform(at, lambda d: d + i)), lambda x: (x >= 0) & (x < F.size("bare")))
+    return F.transform(places, lambda x: F.element_at(F.col("bare"), x + 1))
+
+
+def _common(slots: Column) -> Column:
+    """The words that may stand for all of the slots."""
+    return F.aggregate(slots, slots[0]["is"], lambda held, s: F.array_intersect(held, s["is"]))
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -99,7 +137,7 @@ def contaminated(
 ) -> DataFrame:
     """(id, item, n_windows, n_matched, share, at, n_slots, reworded): one row for each item found in a document.
 
-    ``share`` is the part of the item's windows that agree on one diagonal, at least the given one
+    ``share`` is the part of the item's windows that agree in one band of diagonals, at least the given one
     (windows of fewer than ``literals`` words besides placeholders tell nothing and are not counted);
     ``at`` is the word of the document where the item begins (it may be negative if its start is cut off); ``n_slots`` counts the compared
     placeholders, ``reworded`` those whose value differs. Several places of one item in a document give the best one,
@@ -115,14 +153,13 @@ def contaminated(
     items = materialize(items, "items")
     # a document in capitals or without them shows no names, and inside its sentences an item's first word may look like one
     start = F.when(F.col("w.item_at") == 0, F.get("starts", F.lit(0))).otherwise(F.col("w.hash"))
-    grams = items.select("item", "starts", F.size("windows").alias("n_windows"), F.explode("windows").alias("w"))
-    grams = grams.select("item", "n_windows", F.col("w.item_at").alias("item_at"), F.explode(F.array_distinct(F.array("w.hash", "w.other", start))).alias("hash"))
+    grams = items.select("item", "starts", F.size("template").alias("n_words"), F.size("windows").alias("n_windows"), F.explode("windows").alias("w"))
+    grams = grams.select("item", "n_windows", "n_words", F.col("w.item_at").alias("item_at"), F.explode(F.array_distinct(F.array("w.hash", "w.other", start))).alias("hash"))
     grams = few(materialize(grams, "windows"))
     rows = templates(docs.where(F.col(id_column).isNotNull()), id_column, text_column)
     hashed = rows.select("id", F.posexplode(_windows(window)).alias("doc_at", "hash"))
-    hits = hashed.join(grams, "hash").groupBy("id", "item", (F.col("doc_at") - F.col("item_at")).alias("at"))
-    hits = hits.agg(F.countDistinct("item_at").alias("n_matched"), F.max("n_windows").alias("n_windows"))
-    best = materialize(hits.where(F.col("n_matched") >= F.ceil(F.col("n_windows") * F.lit(share))), "diagonals")
+    hits = hashed.join(grams, "hash").select("id", "item", "item_at", "n_windows", "n_words", (F.col("doc_at") - F.col("item_at")).alias("at"))
+    best = materialize(alignments(materialize(hits, "hits"), share), "alignments")
 
     # only documents with a hit are read again, for the values in their slots
     found = few(materialize(best.select("id").distinct(), "found"))
@@ -130,17 +167,17 @@ def contaminated(
     texts = texts.dropDuplicates(["id", "bare"]).select("id", "bare")
     laid = best.join(items.select("item", "item_bare", "template"), "item").join(texts, "id")
     slots = F.filter(
-        F.transform("template", lambda t, i: F.struct(t.alias("t"), F.element_at(F.col("item_bare"), i + 1).alias("of"), (F.col("at") + i).alias("at"))),
-        lambda s: s["t"].isin(NUMBER, NAME, UNIT) & (s["at"] >= 0) & (s["at"] < F.size("bare")),
+        F.transform("template", lambda t, i: F.struct(t.alias("t"), F.element_at(F.col("item_bare"), i + 1).alias("of"), _values(i, window).alias("is"))),
+        lambda s: s["t"].isin(NUMBER, NAME, UNIT) & (F.size(s["is"]) > 0),
     )
-    pairs = F.transform(slots, lambda s: F.struct(s["of"].alias("of"), F.element_at(F.col("bare"), s["at"] + 1).alias("is")))
-    laid = laid.withColumn("pairs", pairs)
-    values = F.array_distinct(F.transform("pairs", lambda p: p["of"]))
-    laid = laid.select("*", F.size("pairs").alias("n_slots"), (F.size(F.array_distinct("pairs")) == F.size(values)).alias("consistent"))
-    laid = laid.withColumn("reworded", F.size(F.filter("pairs", lambda p: F.lower(p["of"]) != F.lower(p["is"]))))
+    laid = laid.withColumn("slots", slots)
+    values = F.array_distinct(F.transform("slots", lambda s: s["of"]))
+    one = F.forall(values, lambda v: F.size(_common(F.filter("slots", lambda s: s["of"] == v))) > 0)
+    laid = laid.select("*", F.size("slots").alias("n_slots"), one.alias("consistent"))
+    laid = laid.withColumn("reworded", F.size(F.filter("slots", lambda s: ~F.exists(s["is"], lambda x: F.lower(x) == F.lower(s["of"])))))
     same = F.col("n_slots") - F.col("reworded") >= F.col("n_slots") * F.lit(share)
     kept = laid.where(F.col("consistent") | same).groupBy("id", "item").agg(
-        F.max(F.struct("n_matched", (-F.col("at")).alias("at"), "n_windows", "n_slots", "reworded")).alias("b")
+        F.max(F.struct("n_matched", "single", (-F.col("at")).alias("at"), "n_windows", "n_slots", "reworded")).alias("b")
     )
     return kept.select(
         F.col("id").cast(column_type(docs, id_column)).alias(id_column),

@@ -46,6 +46,23 @@ def test_parts_below_the_share_and_single_changes(spark, filler):
     assert set(got) == {(1, 0)}
 
 
+def test_words_put_in_or_left_out(spark, filler):
+    words = ITEM.split()
+    put = " ".join([*words[:13], "quietly", *words[13:]])
+    out = " ".join([*words[:15], *words[16:]])
+    other = put.replace("12", "75").replace("Anna", "Mary Smith").replace("3 euros", "9 dollars")
+    mixed = out.replace("12", "75").replace("to Anna", "to Peter").replace("3 euros", "9 dollars").replace("Anna gave", "Maria gave").replace("4 apples", "6 apples")
+    far = f"{' '.join(words[:13])} {filler[3]} {' '.join(words[13:])}"  # the halves are farther apart than half the item
+    got = found(spark, [f"{filler[0]}. {put} {filler[1]}", f"{filler[0]}. {out}", f"{filler[2]}. {other}", mixed, far], [ITEM], share=0.7)
+    assert set(got) == {(0, 0), (1, 0), (2, 0)}
+    assert got[0, 0]["at"] == got[1, 0]["at"] == 60 and got[0, 0]["reworded"] == got[1, 0]["reworded"] == 0
+    assert got[2, 0]["n_slots"] == 6 and got[2, 0]["reworded"] == 5
+    long = f"{ITEM} Then the miller took the rest of the apples home and gave each of the children the same number of them."
+    words = long.split()
+    texts = [" ".join([*words[:24], "quietly", *words[24:]]), " ".join([*words[:24], *words[25:]])]
+    assert set(found(spark, texts, [long])) == {(0, 0), (1, 0)}
+
+
 def test_edges_nulls_repeats_long_texts_and_many_items(spark, filler):
     long = " ".join(sentence(random.Random(9), 50) for _ in range(200)) + " " + ITEM + " " + filler[3]
     items = [ITEM, ITEM, None, "", "too short", filler[2], "1 2 3 4 5 6 7 8 9 10"]
