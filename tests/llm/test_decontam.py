@@ -63,6 +63,17 @@ def test_words_put_in_or_left_out(spark, filler):
     assert set(found(spark, texts, [long])) == {(0, 0), (1, 0)}
 
 
+def test_names_at_the_start_of_inner_sentences(spark, filler):
+    item = "Tom has 12 apples in a bag. He gives 5 of them to the old farmer. Tom then buys 7 more at the market near the river. How many apples does Tom have?"
+    new = item.replace("Tom", "Ann").replace("He", "She").replace("12", "31").replace(" 5 ", " 8 ").replace(" 7 ", " 9 ")
+    mixed = new.replace("Ann then", "Eve then")  # one name of the item stands for two people
+    inside = new.replace("farmer. Ann", "farmer, Ann")  # a name after a comma, where the item starts a sentence
+    got = found(spark, [f"{filler[0]}. {new} {filler[1]}", f"{filler[0]}. {mixed}", f"{filler[2]} {inside}", f"{filler[3]}. {item}"], [item])
+    assert set(got) == {(0, 0), (2, 0), (3, 0)}
+    assert got[0, 0]["share"] == 1.0 and got[0, 0]["at"] == 60 and got[0, 0]["reworded"] == 7
+    assert got[3, 0]["reworded"] == 0
+
+
 def test_edges_nulls_repeats_long_texts_and_many_items(spark, filler):
     long = " ".join(sentence(random.Random(9), 50) for _ in range(200)) + " " + ITEM + " " + filler[3]
     items = [ITEM, ITEM, None, "", "too short", filler[2], "1 2 3 4 5 6 7 8 9 10"]
