@@ -6,7 +6,7 @@ the columns of documents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staylytics.llm import decontam, langid, mixing, sharding, simhash
@@ -28,24 +28,45 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.select(*own.columns).toDF(*docs.columns)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The rows with the columns ``k`` and ``row``: ``k`` is (no id, id, digest of the text), the same for rows of one id and one text.
+
+    ``k`` is never null; its least value is one with an id where there is one, then the smallest id.
+    """
+    text = F.coalesce(F.concat(F.lit("+"), F.col("text")), F.lit("-")).cast("binary")
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.md5(text).alias("digest"))
+    return docs.select(key.alias("k"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+
+
+def _digest(rows: DataFrame) -> Column:
+    """``k`` as one string, as null fields don't join."""
+    return F.concat_ws(":", F.coalesce(F.col("k.id").cast("string"), F.lit("-")), F.when(F.col("k.none"), "0").otherwise("1"), F.col("k.digest"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near-copies, the one with the smallest id; documents without an id stay.
+    """Keep one document of each group of near-copies, the one with the smallest id; rows without an id come last.
 
-    Where that id has several rows, one of them stays.
+    A decision holds for an id and a text: other texts of an id stand for themselves, and of rows that share both, one stays.
     """
-    found = materialize(simhash.near_duplicates(docs), "groups")
-    gone = materialize(found.where("doc_id <> component").select("doc_id").distinct(), "copies")
-    again = found.where("doc_id = component").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    again = materialize(again, "again")
-    once = docs.join(few(materialize(gone.union(again), "others")), "doc_id", "left_anti").select(docs.columns)
-    return once.union(docs.join(few(again), "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]))
+    keyed = _keyed(docs)
+    found = simhash.near_duplicates(keyed.select("k", F.col("row.text").alias("text")), id_column="k")
+    found = materialize(found, "groups")
+    gone = materialize(found.where("not k <=> component").select(_digest(found).alias("key")).distinct(), "copies")
+    again = found.where("k <=> component").groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
+    again = materialize(again.select(_digest(again).alias("key")), "again")
+    rows = keyed.select(_digest(keyed).alias("key"), "row")
+    once = rows.join(few(materialize(gone.union(again), "others")), "key", "left_anti").select("row.*")
+    return once.union(rows.join(few(again), "key", "left_semi").dropDuplicates(["key"]).select("row.*"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a benchmark item."""
+    """Drop documents that hold a benchmark item, with or without an id; other texts of their id stay."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    gone = few(materialize(decontam.contaminated(docs, benchmark).select("doc_id").distinct(), "leaks"))
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    keyed = _keyed(docs)
+    rows = keyed.select(_digest(keyed).alias("key"), "row")
+    found = decontam.contaminated(rows.select("key", F.col("row.text").alias("text")), benchmark, id_column="key")
+    gone = few(materialize(found.select("key").distinct(), "leaks"))
+    return rows.join(gone, "key", "left_anti").select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

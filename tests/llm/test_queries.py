@@ -1,6 +1,7 @@
 """The registered queries against their SQL, brute force or their contracts, on the given tables."""
 
 import hashlib
+import random
 import zlib
 
 import duckdb
@@ -123,6 +124,20 @@ def test_pipeline_on_odd_rows_and_an_empty_table(spark, sf_dir, tmp_path):
         assert (df.count() > 0) == (start is docs)
 
 
+def test_stages_decide_by_row_not_by_id(spark, sf_dir):
+    """Rows without an id are removed like others, and an id's other text is not."""
+    rng = random.Random(11)
+    a, b, c, d = (" ".join("".join(rng.choice("bcdfgaeiou") for _ in range(5)) for _ in range(60)) for _ in range(4))
+    rows = [(2, b), (None, b), (5, a), (5, b), (5, c), (6, c), (6, c), (None, d), (None, d), (None, None), (7, None)]
+    docs = spark.createDataFrame([(i, t, "en", None, 1, "x", "k") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, k string, key string")
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, sf_dir).collect()]
+    assert sorted(got, key=repr) == sorted([(2, b), (5, a), (5, c), (None, d), (7, None)], key=repr)
+    item = next(r["text"] for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").where("length(text) > 150").collect())
+    leaks = spark.createDataFrame([(None, f"{a} {item}"), (None, a), (5, f"{b} {item}"), (5, c), (6, None), (None, None)], "doc_id long, text string")
+    got = [tuple(r) for r in corpus_pipeline.decontamination(spark, leaks, sf_dir).collect()]
+    assert sorted(got, key=repr) == sorted([(None, a), (5, c), (6, None), (None, None)], key=repr)
+
+
 def test_token_counts_and_secrets_cover_every_document(spark, sf_dir, documents):
     for name in ("op5_secret_scan", "op8_token_counts", "op10_quality"):
         ids = [r[0] for r in QUERIES[name](spark, sf_dir).select("doc_id").collect()]
