@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylytics.llm import chat, decontam, embed_dedup, langid, mixing, quality, secrets, sharding, simhash, token_counts
+from staylytics.llm import align, chat, decontam, embed_dedup, fim, langid, mixing, packing, quality, secrets, sharding, simhash, token_counts
 from staylytics.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,3 +135,44 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.fit(stats.where("not held_out"), labels)
     out = quality.score(stats, model, carry=("held_out",))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.transform(table(spark, sf_dir, "documents"))
+    digests = [F.sha2(c, 256).alias(n) for c, n in ((F.col("output"), "output_sha256"), (fim.restored(), "restored_sha256"))]
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+ORACLES["op11_fill_in_middle"] = """
+with drawn as (
+  select doc_id, coalesce(text, '') as t, sha256('1:' || doc_id) as h, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as units
+  from documents
+), cut as (
+  select *, len(units) as n, cast('0x' || h[1:8] as bigint) as h1, cast('0x' || h[9:16] as bigint) as h2,
+    cast('0x' || h[17:24] as bigint) as h3, cast('0x' || h[25:32] as bigint) as h4 from drawn
+), parts as (
+  select doc_id, t, n,
+    case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain'
+      when h4 % 100 < 20 then 'spm' else 'psm' end as form,
+    array_to_string(units[1:least(h1 % (n + 1), h2 % (n + 1))], '') as p,
+    array_to_string(units[least(h1 % (n + 1), h2 % (n + 1)) + 1:greatest(h1 % (n + 1), h2 % (n + 1))], '') as m,
+    array_to_string(units[greatest(h1 % (n + 1), h2 % (n + 1)) + 1:], '') as s
+  from cut
+)
+select doc_id, cast(n as bigint) as n, form, case when form <> 'plain' then length(p) end as prefix_chars,
+  case when form <> 'plain' then length(m) end as middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+  sha256(t) as restored_sha256
+from parts
+"""
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.score(table(spark, sf_dir, "documents"), digest=True).withColumnRenamed("groups", "groups_sha256")
+
+
+@query
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.with_checksums(packing.pack(table(spark, sf_dir, "documents")))

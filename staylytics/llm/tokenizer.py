@@ -1,15 +1,25 @@
-"""A public byte-level BPE vocabulary, read once on the driver and sent to the tasks (under 1 MB)."""
+"""Public vocabularies, read once on the driver and sent to the tasks (under 2 MB each)."""
 
 from __future__ import annotations
 
 import base64
+import os
+import re
+from collections.abc import Sequence
 from functools import lru_cache
 
+import numpy as np
+import sentencepiece
 import tiktoken
+import tokenizers
 
-#: Where the vocabulary lies; every operator takes another path as a parameter.
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-#: Fixed value: how this vocabulary splits text before merging.
+#: Where the vocabularies lie; every operator takes another path as a parameter.
+FOLDER = "/opt/tokenizers"
+VOCABULARY = f"{FOLDER}/byte_bpe_50k.tiktoken"
+BYTE_VOCABULARY = f"{FOLDER}/byte_bpe_50k.json"
+WORD_VOCABULARY = f"{FOLDER}/word_bpe_49k.json"
+PIECE_VOCABULARY = f"{FOLDER}/piece_bpe_32k.model"
+#: Fixed value: how the byte vocabulary splits text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
@@ -23,3 +33,78 @@ def encoding(vocabulary: bytes) -> tiktoken.Encoding:
     """The encoding of a vocabulary file's content; a worker builds it once."""
     ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, vocabulary.splitlines())}
     return tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@lru_cache(maxsize=2)
+def tokenizer(vocabulary: bytes, plain_specials: bool = False) -> tokenizers.Tokenizer:
+    """A vocabulary file of the tokenizers library; with ``plain_specials`` special tokens' strings are ordinary text."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    found = tokenizers.Tokenizer.from_buffer(vocabulary)
+    found.encode_special_tokens = plain_specials
+    return found
+
+
+@lru_cache(maxsize=2)
+def pieces(vocabulary: bytes) -> sentencepiece.SentencePieceProcessor:
+    return sentencepiece.SentencePieceProcessor(model_proto=vocabulary)
+
+
+def byte_level_tokens(vocabulary: bytes) -> list[bytes]:
+    """The bytes of every id of a byte-level vocabulary. Printable Latin-1 stands for itself, other bytes for U+0100 and on, in order."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+    names = tokenizer(vocabulary, True).get_vocab()
+    out = [b""] * (max(names.values()) + 1)
+    for name, i in names.items():
+        out[i] = bytes(byte_of[c] for c in name) if all(c in byte_of for c in name) else name.encode()
+    return out
+
+
+def piece_tokens(vocabulary: bytes) -> list[bytes]:
+    """The bytes of every id of a piece vocabulary: U+2581 is a space, <0xHH> one byte."""
+    model = pieces(vocabulary)
+    names = map(model.id_to_piece, range(model.vocab_size()))
+    return [bytes([int(n[3:5], 16)]) if re.fullmatch(r"<0x[0-9A-F]{2}>", n) else n.replace("▁", " ").encode() for n in names]
+
+
+#: Texts of these characters only are split into words here: ASCII without DEL, Latin letters without those whose small form has another
+#: length, and punctuation. Normalisation leaves them as they are, and lower case goes letter by letter.
+_PLAIN = re.compile(r"[\x00-\x7e\xa1-\xa9\xab-\xb1\xb4\xb6-\xb8\xbb\xbf-įı-ňŊ-ž‐-‧‰-⁞€]*")
+_LETTERS = r"a-z\xdf-\xf6\xf8-ž"
+#: What the word vocabulary splits lower-case text into: contractions, runs of letters, digits one by one, runs of the rest.
+_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\x20\x09-\x0D0-9{_LETTERS}]+")
+
+
+class WordEncoder:
+    """Ids of texts by the word vocabulary. Words never merge across their edges, so each distinct one is encoded once and remembered.
+
+    The same ids as ``encode(text, add_special_tokens=False)``: texts with other than Latin characters or with
+    something like a special token go to the tokenizer whole.
+    """
+
+    def __init__(self, vocabulary: bytes, remembered: int = 200_000, longest: int = 48):
+        self.tokenizer = tokenizer(vocabulary)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.known: dict[str, list[int]] = {}
+        self.remembered, self.longest = remembered, longest
+
+    def _whole(self, texts: Sequence[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, text: str) -> np.ndarray:
+        if not _PLAIN.fullmatch(text) or any(s in text for s in self.special):
+            return np.array(self._whole([text])[0], dtype=np.int32)
+        words = _WORDS.findall(text.lower())
+        known = self.known
+        new = [w for w in dict.fromkeys(words) if w not in known]
+        if new:
+            if len(known) + len(new) > self.remembered:
+                known.clear()
+                new = list(dict.fromkeys(words))
+            known.update(zip(new, self._whole(new), strict=True))
+        ids = [i for w in words for i in known[w]]
+        for w in new:
+            if len(w) > self.longest:
+                del known[w]
+        return np.array(ids, dtype=np.int32)

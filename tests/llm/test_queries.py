@@ -43,7 +43,7 @@ def test_against_sql(spark, duck, sf_dir, name):
 
 
 def test_there_is_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_op3(spark, sf_dir, documents):
@@ -86,6 +86,50 @@ def test_op9(spark, sf_dir, documents):
     assert sum(total) == sum(r["size"] for r in rows)
 
 
+def test_op12(spark, sf_dir, documents):
+    """Digests and counts of every document, by comparing all ends."""
+    import sentencepiece
+    from test_align import expected
+    from tokenizers import Tokenizer
+
+    from staylytics.llm.tokenizer import BYTE_VOCABULARY, PIECE_VOCABULARY
+
+    a = Tokenizer.from_file(BYTE_VOCABULARY)
+    a.encode_special_tokens = True
+    encoders = a, sentencepiece.SentencePieceProcessor(model_file=PIECE_VOCABULARY)
+    ids = sorted(documents)
+    want = list(expected([documents[i]["text"] for i in ids], encoders))
+    rows = QUERIES["op12_token_alignment"](spark, sf_dir).orderBy("doc_id").collect()
+    names = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+    assert [(r["doc_id"], *[r[c] for c in names]) for r in rows] == [(i, *w[:-1]) for i, w in zip(ids, want, strict=True)]
+    assert [r["groups_sha256"] for r in rows] == [hashlib.sha256(w[-1].encode()).hexdigest() if w[-1] else "" for w in want]
+
+
+def test_op13(spark, sf_dir, documents):
+    """Every id lies in one piece, by each piece's checksum; sequences are full or a power of two."""
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from staylytics.llm.tokenizer import WORD_VOCABULARY
+
+    words = Tokenizer.from_file(WORD_VOCABULARY)
+    pieces, sequences = {}, {}
+    for r in QUERIES["op13_packing"](spark, sf_dir).collect():
+        pieces.setdefault(r["doc_id"], []).append(r)
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in sequences.values():
+        ends = np.cumsum([0] + [n for _, n in sorted(parts)])
+        assert [o for o, _ in sorted(parts)] == ends[:-1].tolist() and ends[-1] <= 2048 and ends[-1] & (ends[-1] - 1) == 0
+    assert set(pieces) == set(documents)
+    for i, parts in pieces.items():
+        ids = np.array([*words.encode(documents[i]["text"] or "", add_special_tokens=False).ids, 1], dtype="<u4")
+        at = 0
+        for r in sorted(parts, key=lambda r: r["start"]):
+            assert (r["start"], r["doc_tokens"], r["ids_crc32"]) == (at, len(ids), zlib.crc32(ids[at : at + r["length"]].tobytes()))
+            at += r["length"]
+        assert at == len(ids)
+
+
 def test_pipeline_stages(spark, sf_dir, documents, tmp_path):
     """Each stage on what the one before it kept; decisions follow from the operators' own tests."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
