@@ -1,18 +1,17 @@
 """Connected components of a table of links, by rounds of contraction.
 
-In each round every node points to its smallest neighbour (itself if it is the
-smallest), and the links are rewritten to those parents. Links inside a tree
-vanish, so what remains shrinks to half the nodes or fewer each round, whatever
-the shape of the component; a star, however large, is gone after one round.
-Minima are pre-aggregated before the shuffle, and rewriting is a join of two
-written tables, whose skewed partitions adaptive execution can split. Nothing is
+In each round every node points to the first of its neighbours and itself, and the links are rewritten to those parents. Links
+inside a tree vanish. For two rounds the smallest comes first: any star, however large, is gone after them. Then the order is drawn anew
+for each round by hashing, so that of a chain, in whatever order its ids run, about half the nodes remain each time.
+Minima are pre-aggregated before the
+shuffle, and rewriting is a join of two written tables, whose skewed partitions adaptive execution can split. Nothing is
 collected, and every round's tables lie in the shared checkpoint folder.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staylytics.sources import materialize
@@ -25,20 +24,28 @@ def components(links: DataFrame) -> DataFrame:
     """
     pairs = links.select("a", "b").where("a <> b")
     edges = materialize(pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    rounds: list[DataFrame] = []
-    while not rounds or not edges.isEmpty():
-        smallest = edges.groupBy("a").agg(F.min("b").alias("m"))
-        parents = materialize(smallest.select(F.col("a").alias("node"), F.least("a", "m").alias("parent")), "parents")
-        rounds.append(parents)
+    found = edges.select(F.col("a").alias("node"), F.col("a").alias("at")).distinct()
+    turn = 0
+    while not edges.isEmpty():
+        turn += 1
+
+        def drawn(c: str, turn: int = turn) -> Column:
+            order = F.xxhash64(c, F.lit(turn)) if turn > 2 else F.lit(0).cast("long")
+            return F.struct(order.alias("h"), F.col(c).alias("node"))
+
+        first = edges.groupBy("a").agg(F.min(drawn("b")).alias("m"))
+        parents = materialize(first.select(F.col("a").alias("node"), F.least(drawn("a"), F.col("m"))["node"].alias("parent")), "parents")
         left = parents.select(F.col("node").alias("a"), F.col("parent").alias("pa"))
         right = parents.select(F.col("node").alias("b"), F.col("parent").alias("pb"))
         moved = edges.join(left, "a").join(right, "b").where("pa <> pb")
         edges = materialize(moved.select(F.col("pa").alias("a"), F.col("pb").alias("b")).distinct(), "edges")
-    out = rounds[0].withColumnRenamed("parent", "component")
-    for step in rounds[1:]:
-        up = step.select(F.col("node").alias("component"), F.col("parent").alias("up"))
-        out = out.join(up, "component", "left").select("node", F.coalesce("up", "component").alias("component"))
-    return out
+        step = parents.select(F.col("node").alias("at"), "parent")
+        found = found.join(step, "at", "left").select("node", F.coalesce("parent", "at").alias("at"))
+        if turn % 4 == 0:  # a plan of bounded depth
+            found = materialize(found, "found")
+    found = materialize(found, "found")
+    smallest = found.groupBy("at").agg(F.min("node").alias("component"))
+    return found.join(smallest, "at").select("node", "component")
 
 
 def local_roots(near: np.ndarray, one: bool) -> tuple[np.ndarray, np.ndarray]:

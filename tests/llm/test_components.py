@@ -34,6 +34,19 @@ def test_chain_star_self_null_and_empty(spark):
     assert solve(spark, []) == {}
 
 
+def test_a_long_chain_of_rising_ids_takes_few_rounds(spark, monkeypatch):
+    """And so does a star whose centre is not its smallest node."""
+    from staylytics.llm import components as module
+
+    rounds, write = [], module.materialize
+    monkeypatch.setattr(module, "materialize", lambda df, name: (rounds.append(name), write(df, name))[1])
+    assert set(solve(spark, [(k, k + 1) for k in range(2000)]).values()) == {0}
+    assert rounds.count("parents") <= 20
+    rounds.clear()
+    assert solve(spark, [(500, k) for k in range(1000) if k != 500]) == dict.fromkeys(range(1000), 0)
+    assert rounds.count("parents") <= 3
+
+
 def test_local_roots_within_and_across():
     rng = np.random.default_rng(0)
     near = rng.random((30, 30)) < 0.04
