@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylytics.llm import decontam, langid, mixing, sharding, simhash
+from staylytics.llm import decontam, langid, mixing, near_copies, sharding
 from staylytics.llm.common import held_out
 from staylytics.llm.decontam import few
 from staylytics.sources import materialize, scratch_path
@@ -46,10 +46,11 @@ def _digest(rows: DataFrame) -> Column:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near-copies, the one with the smallest id; rows without an id come last.
 
+    Near-copies share 0.8 or more of their five-word shingles; SimHash and MinHash propose them, the exact share decides.
     A decision holds for an id and a text: other texts of an id stand for themselves, and of rows that share both, one stays.
     """
     keyed = _keyed(docs)
-    found = simhash.near_duplicates(keyed.select("k", F.col("row.text").alias("text")), id_column="k")
+    found = near_copies.near_duplicates(keyed.select("k", F.col("row.text").alias("text")), id_column="k")
     found = materialize(found, "groups")
     gone = materialize(found.where("not k <=> component").select(_digest(found).alias("key")).distinct(), "copies")
     again = found.where("k <=> component").groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
