@@ -8,6 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from staylytics.operators import curves as curves_of
 from staylytics.operators import explain
 from staylytics.operators.models import feature_names
 from staylytics.operators.results import top_k
@@ -51,7 +52,7 @@ def interpret(
     behind = table if curve_side is None or "split" not in table.columns else table.where(F.col("split") == curve_side)
     inputs = [c for c in feature_names(trees) if not c.endswith("_indexed")]
     strongest = [r["feature"] for r in top_k(tree_rank, "importance", curves, then="feature").collect()]
-    for name in strongest:
-        column = name if name in inputs else name.removesuffix("_indexed")
-        out[f"dependence_{column}"] = explain.partial_dependence(trees, behind, column)
+    columns = [name if name in inputs else name.removesuffix("_indexed") for name in strongest]
+    for column, curve in curves_of.tree_dependence(trees, behind, columns).items():
+        out[f"dependence_{column}"] = curve
     return out

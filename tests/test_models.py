@@ -9,9 +9,9 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
 from staylytics import constants as K
-from staylytics.operators import evaluate, explain, features, models, profile, results, selection, split
+from staylytics.operators import curves, evaluate, explain, features, models, profile, results, selection, split
 from staylytics.plans import interpret, train
-from staylytics.sources import centers_table
+from staylytics.sources import centers_table, materialize
 
 
 @pytest.fixture(scope="module")
@@ -126,7 +126,7 @@ def test_attributions_add_up(table, fitted, which):
 def test_tree_attributions_match_subset_enumeration(spark, table, fitted):
     """Shapley values by summing over all feature subsets, expectation taken along tree paths."""
     trees = fitted[1]
-    leaves = explain._leaves(spark, trees)
+    leaves = explain.leaves_of(spark, trees)
     rows = explain.tree_attributions(trees, table.where("id < 40"), "id").collect()
 
     def expectation(x, known):
@@ -186,6 +186,38 @@ def test_linear_dependence_is_a_line(table, fitted):
     assert {r["value"] for r in explain.partial_dependence(fitted[1], table, "city").collect()} == {"nyc", "london", "rome"}
 
 
+def test_curves_of_trees_equal_scoring_every_row_at_every_value(spark, table, fitted):
+    """One pass for all features, also with missing numbers, against the spread rows."""
+    trees = fitted[1]
+    gaps = table.withColumn("accommodates", F.when(F.col("id") % 7 != 0, F.col("accommodates"))).withColumn(
+        "distance_to_center", F.when(F.col("id") % 5 != 0, F.col("distance_to_center")))
+    for df in (table, gaps):
+        found = curves.tree_dependence(trees, df, ["accommodates", "distance_to_center", "city"], points=20)
+        for name, curve in found.items():
+            want = {r["value"]: r["avg_prediction"] for r in explain.partial_dependence(trees.transform, df, name, points=20).collect()}
+            got = {r["value"]: r["avg_prediction"] for r in curve.collect()}
+            assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) > 2
+            assert all(got[v] == pytest.approx(want[v], abs=1e-9) for v in want)
+
+
+def test_curves_scan_the_rows_once_for_all_features(spark, table, fitted, monkeypatch):
+    plans = []
+    monkeypatch.setattr(curves, "materialize", lambda df, name: (plans.append(df._jdf.queryExecution().executedPlan().toString()), materialize(df, name))[1])
+    curves.tree_dependence(fitted[1], table, ["accommodates", "distance_to_center", "city"])
+    assert len(plans) == 1 and plans[0].count("MapInPandas") == 1 and "Generate" not in plans[0]
+
+
+def test_tiles_of_any_size_give_the_same_attributions(table, fitted, monkeypatch):
+    def rows():
+        found = explain.tree_attributions(fitted[1], table.where("id < 300"), "id").select("id", F.inline("attributions"))
+        return sorted((r["id"], r["feature"], round(r["contribution"], 9)) for r in found.collect())
+
+    want = rows()
+    monkeypatch.setattr(explain, "_TILE_ROWS", 7)
+    monkeypatch.setattr(explain, "_GROUP_CELLS", 1)
+    assert rows() == want
+
+
 def test_importance_ranks_share_ties(spark):
     a = spark.createDataFrame([("x", 3.0), ("y", 1.0), ("z", 1.0)], "feature string, importance double")
     b = spark.createDataFrame([("x", 1.0), ("y", 2.0), ("z", 3.0)], "feature string, importance double")
