@@ -21,10 +21,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylytics.llm.common import column_type, utf8
-from staylytics.llm.tokenizer import WORD_VOCABULARY, WordEncoder, read_vocabulary
+from staylytics.llm.tokenizer import WORD_VOCABULARY, read_vocabulary, tokenizer, word_encoder
 from staylytics.sources import materialize
 
 _BATCH_TOKENS = 1 << 20
+#: Between stages the ids of a piece are one binary value, which costs a copy where an array costs a loop; two bytes an id where all ids fit.
+_PACKED = (np.dtype("<u2"), np.dtype("<u4"))
+
+
+def packed_type(vocabulary: bytes, end: int) -> np.dtype:
+    return _PACKED[max(tokenizer(vocabulary).get_vocab_size(), end + 1) > 1 << 16]
+
+
 
 #: (piece, first token in the piece, tokens)
 Part = tuple[int, int, int]
@@ -101,29 +109,29 @@ def without_gaps(bins: list[list[int]], sizes: list[int], capacity: int) -> list
 def encoded_pieces(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", length: int = 2048, end: int = 1, vocabulary: str = WORD_VOCABULARY
 ) -> DataFrame:
-    """(row, id, start, doc_tokens, n, ids): each text's ids and the id ``end``, cut after every ``length``.
+    """(row, id, start, doc_tokens, n, ids): each text's ids and the id ``end``, cut after every ``length``; ids as packed bytes, see ``_PACKED``.
 
     ``row`` is different for every piece of one run; write the table before using it twice. A null text has the one id ``end``.
     """
     shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
+    packed = packed_type(shared.value, end)
     kind = column_type(docs, id_column)
     names = ["row", "id", "start", "doc_tokens", "n", "ids"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, row = WordEncoder(shared.value), TaskContext.get().partitionId() << 40
+        encoder, row = word_encoder(shared.value), TaskContext.get().partitionId() << 40
         for batch in batches:
             of, starts, totals, ids, held = [], [], [], [], 0
 
             def out() -> pa.RecordBatch:
                 sizes = np.array([len(p) for p in ids], dtype=np.int32)
-                ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
                 columns = [
                     pa.array(np.arange(row - len(ids), row)),
                     batch.column(0).take(pa.array(of, pa.int64())),
                     pa.array(starts, pa.int64()),
                     pa.array(totals, pa.int64()),
                     pa.array(sizes),
-                    pa.ListArray.from_arrays(ends, pa.array(np.concatenate(ids))),
+                    pa.array([p.astype(packed).tobytes() for p in ids], pa.binary()),
                 ]
                 return pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -142,7 +150,7 @@ def encoded_pieces(
                 yield out()
 
     rows = docs.select(F.col(id_column).alias("id"), utf8(text_column).alias("text"))
-    return rows.mapInArrow(run, f"row long, id {kind}, start long, doc_tokens long, n int, ids array<int>")
+    return rows.mapInArrow(run, f"row long, id {kind}, start long, doc_tokens long, n int, ids binary")
 
 
 def pack(
@@ -165,7 +173,7 @@ def pack(
     """
     if length < 1 or length & (length - 1):
         raise ValueError("length must be a power of two")
-    kind = column_type(docs, id_column)
+    kind, packed_ids = column_type(docs, id_column), packed_type(read_vocabulary(vocabulary), end)
     rows = materialize(encoded_pieces(docs, id_column, text_column, length, end, vocabulary), "pieces")
     whole, rest = rows.where(F.col("n") == length), rows.where(F.col("n") < length)
     groups = max(1, -(-rest.count() // group_pieces))
@@ -177,8 +185,8 @@ def pack(
         packed = without_gaps(first_fit_decreasing(sizes, length), sizes, length)
         parts = np.array([(*part, s) for s, sequence in enumerate(packed) for part in sequence], dtype=np.int64)
         item, first, n, sequence = parts.T
-        lists = table.column("ids").chunk(0)
-        values, at = lists.values.to_numpy(), lists.offsets.to_numpy()
+        values = np.frombuffer(b"".join(table.column("ids").to_pylist()), dtype=packed_ids).astype(np.int32)
+        at = np.cumsum(sizes) - sizes
         ends = np.cumsum(n)
         offset = ends - n
         new = np.append(True, sequence[1:] != sequence[:-1])
@@ -198,8 +206,18 @@ def pack(
     schema = f"id {kind}, start long, length long, ids array<int>, doc_tokens long, sequence_id long, offset long"
     dealt = rest.withColumn("grp", F.expr(f"pmod(xxhash64(row, {int(seed)}), {groups}L)"))
     packed = dealt.groupBy("grp").applyInArrow(run, schema)
-    own = F.lit(1 << 62) + F.col("row")
-    ready = whole.select("id", "start", F.col("n").cast("long").alias("length"), "ids", "doc_tokens", own.alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+
+    def single(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Whole pieces: sequences of their own, numbered after all others."""
+        for batch in batches:
+            n = np.full(batch.num_rows, length, dtype=np.int64)
+            ids = np.frombuffer(b"".join(batch.column("ids").to_pylist()), dtype=packed_ids).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array((np.arange(len(n) + 1) * length).astype(np.int32)), pa.array(ids))
+            number = pa.array(batch.column("row").to_numpy() + (1 << 62))
+            columns = [batch.column("id"), batch.column("start"), pa.array(n), lists, batch.column("doc_tokens"), number, pa.array(n * 0)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    ready = whole.mapInArrow(single, schema)
     return ready.union(packed).withColumnRenamed("id", id_column)
 
 

@@ -125,7 +125,7 @@ class WordEncoder:
     something like a special token go to the tokenizer whole.
     """
 
-    def __init__(self, vocabulary: bytes, remembered: int = 200_000):
+    def __init__(self, vocabulary: bytes, remembered: int = 300_000):
         self.tokenizer = tokenizer(vocabulary)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words, self.remembered = _Words(self.tokenizer.model), remembered
