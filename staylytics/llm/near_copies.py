@@ -27,28 +27,44 @@ from staylytics.llm.components import components
 from staylytics.sources import materialize
 
 _SEED = 20
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+_FACTORS, _ADDED = np.random.default_rng(_SEED).integers(0, 1 << 31, (2, 1024), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
 def shingle_hashes(words: list[bytes], shingle: int) -> np.ndarray:
-    """Hashes of all runs of ``shingle`` words, or of the whole where there are fewer; none without words."""
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    n = max(1, len(words) - shingle + 1)
-    digest = xxhash.xxh64_intdigest
-    return np.unique(np.fromiter((digest(b" ".join(words[i : i + shingle]), _SEED) for i in range(n)), dtype=np.uint64, count=n))
+    """Distinct hashes of all runs of ``shingle`` words, or of the whole where there are fewer; none without words.
+
+    Words are hashed one by one, and a run's hash is a polynomial in theirs, finally mixed.
+    """
+    own = np.fromiter((xxhash.xxh64_intdigest(w, _SEED) for w in words), dtype=np.uint64, count=len(words))
+    size = min(shingle, len(own))
+    n = len(own) - size + 1 if size else 0
+    out = np.zeros(n, dtype=np.uint64)
+    for k in range(size):
+        out = out * _MIX + own[k : k + n]
+    out ^= out >> np.uint64(32)
+    out *= _MIX
+    return np.unique(out ^ (out >> np.uint64(29)))
 
 
 def minima(hashes: np.ndarray, count: int) -> np.ndarray:
-    """``count`` MinHash values of a set of hashes."""
-    rng = np.random.default_rng(_SEED)
-    factors = rng.integers(0, 1 << 63, count, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    added = rng.integers(0, 1 << 63, count, dtype=np.uint64)
-    least = np.full(count, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for at in range(0, len(hashes), 1 << 11):  # blocks that stay in the cache
-        np.minimum(least, (hashes[at : at + (1 << 11), None] * factors + added).min(axis=0), out=least)
+    """``count`` MinHash values (up to 1,024) of a set of hashes, from their upper halves."""
+    upper = (hashes >> np.uint64(32)).astype(np.uint32)
+    least = np.full(count, np.iinfo(np.uint32).max, dtype=np.uint32)
+    for at in range(0, len(upper), 1 << 10):  # blocks that stay in the cache
+        np.minimum(least, (upper[None, at : at + (1 << 10)] * _FACTORS[:count, None] + _ADDED[:count, None]).min(axis=1), out=least)
     return least
 
 
+def fingerprint(hashes: np.ndarray) -> int:
+    """SimHash of a set: bits set in over half of the hashes, as a signed number."""
+    ones = np.zeros(64, dtype=np.int64)
+    for at in range(0, len(hashes), 1 << 15):
+        bits = np.unpackbits(hashes[at : at + (1 << 15)].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones += bits.sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
+
+
 def signatures(docs: DataFrame, id_column: str, text_column: str, shingle: int, bands: int, rows: int) -> DataFrame:
     """(id, cls, fp, sketch, bands, text) per row: cls is a digest of the text's words, fp its SimHash, sketch a byte per minimum."""
 
@@ -56,18 +72,18 @@ def signatures(docs: DataFrame, id_column: str, text_column: str, shingle: int,
         for batch in batches:
             cls, prints, sketches, keys = [], [], [], []
             for value in batch.column(1):
-                text = value.as_py()
-                words = folded_words(text)
-                least = minima(shingle_hashes(words, shingle), bands * rows)
+                words = folded_words(value.as_py())
+                hashes = shingle_hashes(words, shingle)
+                least = minima(hashes, bands * rows)
                 cls.append(xxhash.xxh3_128_digest(b" ".join(words)))
-                prints.append(simhash.fingerprint(text, shingle))
-                sketches.append((least >> np.uint64(8)).astype(np.uint8).tobytes())
+                prints.append(fingerprint(hashes))
+                sketches.append((least >> np.uint32(8)).astype(np.uint8).tobytes())
                 keys += [xxhash.xxh64_intdigest(band.tobytes(), k) for k, band in enumerate(least.reshape(bands, rows))]
             ends = pa.array(np.arange(0, len(keys) + 1, bands, dtype=np.int32))
             columns = [
                 batch.column(0),
                 pa.array(cls, pa.binary()),
-                pa.array(np.array(prints, dtype=np.uint64).view(np.int64)),
+                pa.array(prints, pa.int64()),
                 pa.array(sketches, pa.binary()),
                 pa.ListArray.from_arrays(ends, pa.array(np.array(keys, dtype=np.uint64).view(np.int64))),
                 batch.column(1),
