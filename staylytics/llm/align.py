@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylytics.llm.common import column_type, utf8
-from staylytics.llm.tokenizer import BYTE_VOCABULARY, PIECE_VOCABULARY, byte_level_tokens, piece_tokens, pieces, read_vocabulary, tokenizer
+from staylytics.llm.tokenizer import BYTE_VOCABULARY, PIECE_VOCABULARY, byte_level_encoding, byte_level_tokens, piece_tokens, pieces, read_vocabulary, runs
 from staylytics.sources import materialize
 
 _BATCH_BYTES = 2 << 20
@@ -67,11 +68,6 @@ def lockstep(ends_a: np.ndarray, ends_b: np.ndarray, first_a: np.ndarray, stretc
     return np.concatenate(links_a), np.concatenate(links_b), cut_a[order], cut_b[order]
 
 
-def _runs(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """first[k], first[k] + 1, ... for sizes[k] numbers, one run after the other."""
-    return np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-
-
 def all_links(
     ids_a: np.ndarray, ids_b: np.ndarray, links: tuple[np.ndarray, np.ndarray], cuts: tuple[np.ndarray, np.ndarray]
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -80,16 +76,16 @@ def all_links(
     start_a, start_b = np.append(0, cut_a[:-1] + 1), np.append(0, cut_b[:-1] + 1)
     n_a, n_b = cut_a + 1 - start_a, cut_b + 1 - start_b
     both = (n_a > 1) & (n_b > 1)
-    group = np.searchsorted(cut_a, links[0])
+    group = np.repeat(np.arange(len(cut_a)), n_a)[links[0]]
     direct = ~both[group]
     out = [(group[direct], ids_a[links[0][direct]], ids_b[links[1][direct]], np.ones(np.count_nonzero(direct), dtype=np.int64))]
     many = np.flatnonzero(both & (n_a * n_b <= _LARGE_GROUP))
     products = np.cumsum(n_a[many] * n_b[many])
     for part in np.split(many, np.searchsorted(products, np.arange(1 << 20, int(products[-1]) if len(many) else 0, 1 << 20))):
         if len(part):
-            a = _runs(start_a[part], n_a[part])
+            a = runs(start_a[part], n_a[part])
             across = np.repeat(n_b[part], n_a[part])
-            b = _runs(np.repeat(start_b[part], n_a[part]), across)
+            b = runs(np.repeat(start_b[part], n_a[part]), across)
             out.append((np.repeat(part, n_a[part] * n_b[part]), np.repeat(ids_a[a], across), ids_b[b], np.ones(len(b), dtype=np.int64)))
     for g in np.flatnonzero(both & (n_a * n_b > _LARGE_GROUP)):
         (a, times_a), (b, times_b) = (
@@ -103,7 +99,7 @@ class Aligner:
     """Encodes and aligns a list of texts."""
 
     def __init__(self, vocabulary_a: bytes, vocabulary_b: bytes):
-        self.a, self.b = tokenizer(vocabulary_a, True), pieces(vocabulary_b)
+        self.a, self.b = byte_level_encoding(vocabulary_a), pieces(vocabulary_b)
         self.bytes_a, self.bytes_b = byte_level_tokens(vocabulary_a), piece_tokens(vocabulary_b)
         self.size_a, self.size_b = (np.array([len(t) for t in tokens]) for tokens in (self.bytes_a, self.bytes_b))
         # each id's decimal form before a further one, and before the bar or semicolon
@@ -113,7 +109,7 @@ class Aligner:
     def encode(self, raws: list[bytes]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of A and B of each text, both empty where the joined bytes of either are not a space and the text."""
         texts = [raw.decode("utf-8", "replace") for raw in raws]
-        ids_a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        ids_a = [self.a.encode_ordinary(" " + t) for t in texts]
         ids_b = self.b.encode(texts, num_threads=1)
         for k, raw in enumerate(raws):
             want = b" " + raw
@@ -125,7 +121,7 @@ class Aligner:
         """Per text n_a, n_b, n_groups, n_links, its groups as bytes, and its distinct pairs (id of A x size of B's vocabulary + id of B) with their times."""
         encoded = self.encode(raws)
         (flat_a, first_a), (flat_b, first_b) = (
-            (np.fromiter((i for ids in side for i in ids), dtype=np.int64), np.concatenate([[0], np.cumsum([len(ids) for ids in side])])) for side in encoded
+            (np.fromiter(chain.from_iterable(side), dtype=np.int64), np.concatenate([[0], np.cumsum([len(ids) for ids in side])])) for side in encoded
         )
         ends_a, ends_b = np.cumsum(self.size_a[flat_a]), np.cumsum(self.size_b[flat_b])
         links_a, links_b, cut_a, cut_b = lockstep(ends_a, ends_b, first_a)
@@ -144,7 +140,7 @@ class Aligner:
         first_pair = np.searchsorted(document, np.arange(n + 1))
         total = np.concatenate([[0], np.cumsum(times)])
 
-        group_a, group_b = np.searchsorted(cut_a, np.arange(len(flat_a))), np.searchsorted(cut_b, np.arange(len(flat_b)))
+        group_a, group_b = (np.repeat(np.arange(len(cut)), np.diff(cut, prepend=-1)) for cut in (cut_a, cut_b))
         start_b, end_a = np.append(0, cut_b[:-1] + 1), cut_a + 1
         parts = np.empty(len(flat_a) + len(flat_b), dtype=object)
         if len(cut_a):

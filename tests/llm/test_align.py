@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from staylytics.llm import align
-from staylytics.llm.tokenizer import BYTE_VOCABULARY, PIECE_VOCABULARY
+from staylytics.llm.tokenizer import BYTE_VOCABULARY, PIECE_VOCABULARY, byte_level_encoding, read_vocabulary
 
 
 @pytest.fixture(scope="module")
@@ -73,6 +73,15 @@ def expected(texts, encoders):
         yield (sum(len(a) for a, _ in groups), sum(len(b) for _, b in groups), len(groups), c.total(), n_best, sum(k * held[p] for p, k in c.items()), form)
 
 
+def test_byte_level_ids_are_those_of_the_vocabulary_file(encoders):
+    """Characters of every script, beside letters, digits, spaces and each other."""
+    fast = byte_level_encoding(read_vocabulary(BYTE_VOCABULARY))
+    points = [*range(0x3000), *range(0x3000, 0xD800, 37), *range(0xE000, 0x20000, 53), *range(0x20000, 0x110000, 4099)]
+    texts = [f"a{c}b {c}1{c} {c}{c}  's" for c in map(chr, points)]
+    for text, found in zip(texts, encoders[0].encode_batch_fast(texts, add_special_tokens=False), strict=True):
+        assert fast.encode_ordinary(text) == found.ids, text
+
+
 @pytest.fixture(scope="module")
 def texts():
     rng = random.Random(8)
