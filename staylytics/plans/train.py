@@ -28,10 +28,14 @@ class Features:
         return [*self.numeric, *self.categorical]
 
 
-def baseline_features(df: DataFrame, target: str = "price_clean") -> Features:
-    """The numeric columns most correlated with the target, and every category column that passes the gate."""
+def baseline_features(df: DataFrame, target: str = "price_clean", key: str = "id") -> Features:
+    """The numeric columns most correlated with the target, and every category column that passes the gate.
+
+    Columns are ranked on the training side of the shared split only, so that test rows have no say in what is chosen.
+    """
     names = selection.select_numeric(df, target, limit=None)
-    ranking = materialize(profile.correlations(df, target, names), "ranking")
+    learned = hash_split(df, key).where("split = 'train'").drop("split")
+    ranking = materialize(profile.correlations(learned, target, names), "ranking")
     chosen = Features(selection.select_numeric(df, target, ranking=ranking), selection.select_categorical(df, limit=None))
     selection.assert_no_leak(chosen.all)
     return chosen

@@ -68,6 +68,18 @@ def test_selection(spark):
         selection.assert_no_leak(["beds", "price_per_person"])
 
 
+def test_test_rows_have_no_say_in_the_ranking(spark, monkeypatch):
+    """Test rows in which another column predicts the target perfectly change nothing."""
+    rows = split.hash_split(spark.range(600), "id").selectExpr("id", "split = 'test' as tested", "cast(id * 37 % 101 as double) as y")
+    noise = "cast(id * 61 % 97 as double)"
+    df = rows.selectExpr("id", "y as price_clean", f"y + {noise} / 4 as good", f"case when tested then 1000000 * y else {noise} end as bad")
+    seen = {}
+    monkeypatch.setattr(train.selection, "select_numeric", lambda df, target, limit=None, ranking=None: seen.update(r=ranking) or ["good", "bad"])
+    train.baseline_features(df)
+    found = {r["column"]: abs(r["correlation"]) for r in seen["r"].collect()}
+    assert found["good"] > 0.9 > 0.3 > found["bad"]
+
+
 def test_metrics_match_the_evaluator(table, fitted):
     scored = models.score(fitted[1], table)
     row = evaluate.regression_metrics(scored, "price_clean", {"m": "prediction"}).first()
