@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -33,6 +33,22 @@ def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataF
     return df.withColumn("__rn", F.row_number().over(first)).where("__rn = 1").drop("__rn")
 
 
+def dedupe_counting(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], by: Sequence[str], present: Column) -> DataFrame:
+    """``dedupe`` of the rows where ``present`` holds, with ``__present`` and ``__rows``: how many rows each one stands for.
+
+    The other rows come back as one row per group of ``by``, ``__present`` false and everything but ``by`` null. So ``__rows``
+    sums up to all rows that came in, and one pass both cleans and counts. Both parts are combined in each task before the shuffle.
+    """
+    held = F.coalesce(present, F.lit(False))
+    rest = [c for c in keys if c not in by]
+    tagged = df.select(*by, held.alias("__present"), *[F.when(held, F.col(c)).alias(f"__key_{i}") for i, c in enumerate(rest)],
+                       F.when(held, F.struct(*df.columns)).alias("__row"), F.struct(*order_by).alias("__first"))
+    grouped = tagged.groupBy(*by, "__present", *[f"__key_{i}" for i in range(len(rest))])
+    one = grouped.agg(F.min_by("__row", "__first").alias("__row"), F.count(F.lit(1)).alias("__rows"))
+    columns = [F.col(c) if c in by else F.col("__row")[c].alias(c) for c in df.columns]
+    return one.select(*columns, "__present", "__rows")
+
+
 def iqr_filter(
     df: DataFrame,
     value: str,
@@ -72,11 +88,15 @@ def _within(df: DataFrame, value: str, bounds: DataFrame, by: Sequence[str]) ->
     return kept.drop("__lo", "__hi")
 
 
-def keep_rate(before: DataFrame, after: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Rows before, rows after and percent kept, per group; an empty input gives a null rate."""
+def keep_rate(before: DataFrame, after: DataFrame, by: Sequence[str] = (), counted: str | None = None) -> DataFrame:
+    """Rows before, rows after and percent kept, per group; an empty input gives a null rate.
+
+    With ``counted`` that column of ``before`` tells how many rows each of its rows stands for.
+    """
     one = F.count(F.lit(1))
+    rows = one if counted is None else F.sum(counted).cast("bigint")
     sides = [
-        before.groupBy(*by).agg(one.alias("rows_before"), F.lit(0).cast("bigint").alias("rows_after")),
+        before.groupBy(*by).agg(rows.alias("rows_before"), F.lit(0).cast("bigint").alias("rows_after")),
         after.groupBy(*by).agg(F.lit(0).cast("bigint").alias("rows_before"), one.alias("rows_after")),
     ]
     total = sides[0].unionByName(sides[1]).groupBy(*by)

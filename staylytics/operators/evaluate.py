@@ -118,11 +118,11 @@ def error_distribution(
 
 
 def improvement(
-    metrics: DataFrame, base: str = "baseline", other: str = "gbt", fallback: float = K.DEFAULT_R2_IMPROVEMENT
+    metrics: DataFrame, base: str = "baseline", other: str = "gbt", fallback: float | None = None
 ) -> DataFrame:
     """Percent by which ``other`` beats ``base``; positive is better for every metric.
 
-    ``r2_gain_pct`` is the gain over a positive base R², else ``fallback``.
+    ``r2_gain_pct`` is the gain over a positive base R², else ``fallback``, by default null.
     """
 
     def of(model: str, metric: str) -> Column:
@@ -134,7 +134,7 @@ def improvement(
     ]
     gain = of(other, "r2") - of(base, "r2")
     r2 = (F.try_divide(gain, F.abs(of(base, "r2"))) * 100).alias("r2_improvement_pct")
-    over = F.when(of(base, "r2") > 0, F.try_divide(gain, of(base, "r2")) * 100).otherwise(F.lit(float(fallback)))
+    over = F.when(of(base, "r2") > 0, F.try_divide(gain, of(base, "r2")) * 100).otherwise(F.lit(fallback).cast("double"))
     return metrics.agg(*lower, r2, over.alias("r2_gain_pct"))
 
 

@@ -32,9 +32,10 @@ def clean(spark: SparkSession, raw: str, out: str, cities: Sequence[str] | None
     paths = {c: f"{raw}/{c}/listings.csv" for c in cities}
     sources = read_sources(spark, paths, "csv", on_missing="skip", multi_line=multi_line)
     combined = prepare.combine_sources(sources)
-    write_table(prepare.clean_sources(combined), f"{out}/unified", partition_by=["source"])
+    cleaned, came_in = prepare.clean_sources_counted(combined)
+    write_table(cleaned, f"{out}/unified", partition_by=["source"])
     kept = read_table(spark, f"{out}/unified")
-    _write_report(keep_rate(combined, kept, ["source"]), f"{out}/reports/keep_rate")
+    _write_report(keep_rate(came_in, kept, ["source"], counted="__rows"), f"{out}/reports/keep_rate")
 
 
 def features(spark: SparkSession, out: str, as_of: str | None = None) -> None:

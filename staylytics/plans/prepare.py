@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from staylytics import constants as K
 from staylytics.functions import clean_price
-from staylytics.operators.cleaning import dedupe, drop_null_keys, iqr_filter
+from staylytics.operators.cleaning import dedupe, dedupe_counting, drop_null_keys, iqr_filter
 from staylytics.operators.combine import union_common, with_source_tag
 from staylytics.operators.features import engineer
 from staylytics.operators.geo import neighborhood_lookup
@@ -48,6 +48,34 @@ def clean_listings(
     return iqr_filter(unique, "price_clean", by, k, exact, accuracy)
 
 
+def clean_counted(
+    df: DataFrame,
+    by: Sequence[str] = ("city",),
+    keys: Sequence[str] = ("id",),
+    order_by: Sequence[str] | None = None,
+    k: float = 1.5,
+    exact: bool = True,
+    accuracy: int = 10_000,
+    columns: Sequence[str] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """What ``clean_listings`` gives, and a table (``by``, ``__rows``) whose counts sum up to all rows of ``df``.
+
+    ``df`` is read once: the staged table of unique listings also tells how many rows came in, so nothing
+    parses raw files a second time to count them. Null columns of ``by`` are a group of their own, as in ``groupBy``.
+    """
+    priced = df.withColumn("price_clean", clean_price("price"))
+    order = list(order_by) if order_by else ["__order"]
+    if not order_by:
+        priced = priced.withColumn("__order", F.xxhash64(*df.columns))
+    kept = [*df.columns, "price_clean"] if columns is None else list(dict.fromkeys([*by, *keys, *columns, "price_clean"]))
+    valid = [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in ("price_clean", "latitude", "longitude")]
+    priced = priced.withColumn("__valid", valid[0] & valid[1] & valid[2])
+    narrow = priced.select(*dict.fromkeys([*kept, *order, "__valid"]))
+    unique = dedupe_counting(narrow, [*by, *keys], order, by, F.col("__valid"))
+    unique = materialize(unique.select(*kept, "__present", "__rows"), "unique")
+    return iqr_filter(unique.where("__present").select(*kept), "price_clean", by, k, exact, accuracy), unique.select(*by, "__rows")
+
+
 def unify(sources: Mapping[str, DataFrame]) -> DataFrame:
     """All sources on their common columns, tagged by city."""
     return union_common([with_source_tag(df, "city", city) for city, df in sources.items()])
@@ -63,6 +91,11 @@ def clean_sources(raw: DataFrame, exact: bool = True) -> DataFrame:
     return clean_listings(raw, by=["source"], exact=exact)
 
 
+def clean_sources_counted(raw: DataFrame, exact: bool = True) -> tuple[DataFrame, DataFrame]:
+    """``clean_sources`` and the counts of the rows that came in, from one reading of the files."""
+    return clean_counted(raw, by=["source"], exact=exact)
+
+
 def features(df: DataFrame, as_of: Column | str | None = None, centers: DataFrame | None = None) -> DataFrame:
     return engineer(df, centers_table(df.sparkSession) if centers is None else centers, as_of)
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from staylytics.operators import cleaning, combine, quantiles
 from staylytics.plans import prepare
+from workload.adapters import listings
 
 
 def disc(values, p):
@@ -136,3 +137,22 @@ def test_clean_sources_treats_each_source_by_itself(spark):
         ("a", 10.0), ("a", 11.0), ("a", 12.0), ("a", 13.0), ("b", 990.0), ("b", 999.0), ("b", 1000.0), ("b", 1010.0)
     }
     assert {r["source"]: r["keep_pct"] for r in rates.collect()} == {"a": 80.0, "b": 100.0}
+
+
+def test_cleaning_counts_what_came_in_from_one_reading(spark, sf_dir, tmp_path):
+    """The same rows as without counting; neither result reads the raw files again."""
+    raw = listings(spark, sf_dir)
+    bad = raw.withColumns({"price": F.lit("free"), "name": F.lit("no price")})
+    nowhere = raw.limit(7).withColumns({"latitude": F.lit(None).cast(raw.schema["latitude"].dataType), "city": F.lit(None).cast("string")})
+    raw.unionByName(raw.withColumn("name", F.lit("copy"))).unionByName(bad).unionByName(nowhere).write.parquet(str(tmp_path / "raw"))
+    df = spark.read.parquet(str(tmp_path / "raw"))
+    kept, came_in = prepare.clean_counted(df, order_by=["name"])
+    rows = sorted(map(tuple, prepare.clean_listings(df, order_by=["name"]).collect()), key=repr)
+    assert rows and sorted(map(tuple, kept.collect()), key=repr) == rows
+    one, two = cleaning.keep_rate(came_in, kept, ["city"], counted="__rows"), cleaning.keep_rate(df, kept, ["city"])
+    assert one.schema == two.schema and sorted(one.collect(), key=repr) == sorted(two.collect(), key=repr)
+    for found in (kept, came_in):
+        assert found.inputFiles() and not any(f"{tmp_path}/raw" in f for f in found.inputFiles())
+    assert sorted(prepare.clean_counted(df)[0].collect(), key=repr) == sorted(prepare.clean_listings(df).collect(), key=repr)
+    none, counts = prepare.clean_counted(df.limit(0))
+    assert none.count() == 0 and counts.count() == 0

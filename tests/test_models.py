@@ -110,7 +110,8 @@ def test_improvement_is_symmetric_in_direction(spark):
         table = {r["metric"]: (r["baseline"], r["gbt"]) for r in evaluate.comparison(undefined, defaults=defaults).collect()}
         assert table["r2"] == (None, None) and table["rmse"] == (10.0, 8.0)
     negative = df.withColumn("r2", F.when(F.col("model") == "baseline", -0.1).otherwise(F.col("r2")))
-    assert evaluate.improvement(negative).first()["r2_gain_pct"] == 50.0
+    assert evaluate.improvement(negative).first()["r2_gain_pct"] is None
+    assert evaluate.improvement(negative, fallback=50.0).first()["r2_gain_pct"] == 50.0
 
 
 def test_save_and_load(spark, table, fitted, tmp_path):

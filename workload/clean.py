@@ -51,7 +51,8 @@ from b left join a using (city)""",
     )
 )
 def keep_rate(spark, sf_dir):
-    return rounded(cleaning.keep_rate(scrapes(spark, sf_dir), cleaned(spark, sf_dir, []), ["city"]))
+    kept, came_in = prepare.clean_counted(scrapes(spark, sf_dir), order_by=["name"], columns=[])
+    return rounded(cleaning.keep_rate(came_in, kept, ["city"], counted="__rows"))
 
 
 _TRIM = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]

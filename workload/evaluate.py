@@ -192,7 +192,7 @@ def _metrics(spark, sf_dir):
     )
 )
 def improvement(spark, sf_dir):
-    return rounded(evaluate.improvement(_metrics(spark, sf_dir)))
+    return rounded(evaluate.improvement(_metrics(spark, sf_dir), fallback=50.0))
 
 
 @query(

@@ -11,7 +11,7 @@ from staylytics.operators import evaluate, explain, models, results, selection
 from staylytics.operators.split import hash_split
 from staylytics.plans import train
 from staylytics.sources import scratch_path
-from workload.adapters import requests
+from workload.adapters import REQUESTS_SQL, requests
 from workload.features import ENGINEERED_SQL, engineered
 from workload.registry import query, rounded, rounded_sql, table
 
@@ -178,6 +178,21 @@ def model_quote(spark, sf_dir):
     return rounded(priced.select("request_id", "city", "room_type", "predicted_price"))
 
 
+@query(
+    f"""with e as ({ENGINEERED_SQL}), g as (select host_is_superhost_binary as b, avg(price_clean) as mean from e
+where concat('0x', substr(md5(concat('42|', id)), 1, 8))::ubigint % 100 < 80 group by 1)
+select request_id, city, room_type, round(mean, 3) as predicted_price from ({REQUESTS_SQL}) q join g on g.b = q.host_is_superhost"""
+)
+def one_split_quote(spark, sf_dir):
+    """Requests priced by a saved model of one split, which SQL can state."""
+    path = scratch_path(spark, "model")
+    pipeline = models.gbt_pipeline(["host_is_superhost_binary"], depth=1, iters=1, subsample=1.0)
+    models.save(models.fit(pipeline, hash_split(engineered(spark, sf_dir), "id")), path)
+    asked = requests(spark, sf_dir).withColumnRenamed("host_is_superhost", "host_is_superhost_binary")
+    priced = models.score(models.load(path), asked, "predicted_price")
+    return rounded(priced.select("request_id", "city", "room_type", "predicted_price"), 3)
+
+
 # --- models small enough for SQL to state ---------------------------------------------
 _SPLIT = "case when concat('0x', substr(md5(concat('42|', o_orderkey)), 1, 8))::ubigint % 100 < 80 then 'train' else 'test' end"
 _ORDERS = f"""with t as (select o_orderkey, o_orderpriority, o_totalprice, o_custkey, cast(o_custkey % 3 = 0 as int) as third,
@@ -261,6 +276,58 @@ def tree_importance_of_one(spark, sf_dir):
     return rounded(models.importances(_stump(spark, sf_dir)))
 
 
+def _round(n: int, rows: str) -> str:
+    """One boosting round on two 0/1 features: means by either, the squares they explain, and the better feature."""
+    return f"""f{n} as (select f, x, avg(y) as m, count(*) as n from
+  (select 'third' as f, third as x, y from {rows} union all select 'even', even, y from {rows}) group by f, x),
+g{n} as (select f, sum(n * (m - mu) * (m - mu)) as gain from f{n}, (select avg(y) as mu from {rows}) group by f),
+c{n} as (select f{n}.* from f{n} join (select f from g{n} order by gain desc, f limit 1) using (f))"""
+
+
+#: Boosting two trees of one split each: the second one learns twice the residuals of the first and counts for the step of 0.05.
+_BOOSTED = f"""{_ORDERS}, o as (select *, cast(o_custkey % 2 = 0 as int) as even, o_totalprice as y from t),
+s1 as (select * from o where split = 'train'), {_round(1, 's1')},
+p1 as (select o.*, c1.m as p from o join c1 on c1.x = case when c1.f = 'third' then third else even end),
+s2 as (select third, even, 2 * (y - p) as y from p1 where split = 'train'), {_round(2, 's2')}"""
+
+
+def _boosted_orders(spark, sf_dir):
+    return _orders(spark, sf_dir).withColumn("even", (F.col("o_custkey") % 2 == 0).cast("int"))
+
+
+def _boosted(spark, sf_dir):
+    pipeline = models.gbt_pipeline(["third", "even"], target="o_totalprice", depth=1, iters=2, subsample=1.0)
+    return _once(spark, sf_dir, "boosted", lambda: models.fit(pipeline, _boosted_orders(spark, sf_dir)))
+
+
+@query(
+    rounded_sql(
+        f"""{_BOOSTED} select o_orderkey, split, p + 0.05 * c2.m as prediction
+from p1 join c2 on c2.x = case when c2.f = 'third' then third else even end""",
+        ["prediction"],
+        3,
+    )
+)
+def boosted_predictions(spark, sf_dir):
+    """Two boosting rounds: group means, then a step along the means of what is left."""
+    scored = models.score(_boosted(spark, sf_dir), _boosted_orders(spark, sf_dir))
+    return rounded(scored.select("o_orderkey", "split", "prediction"), 3)
+
+
+@query(
+    rounded_sql(
+        f"""{_BOOSTED}, used as (select f, gain from g1 where f in (select f from c1) union all select f, gain from g2 where f in (select f from c2))
+select n.f as feature, coalesce(sum(gain), 0) / (select sum(gain) from used) as importance
+from (select unnest(['third', 'even']) as f) n left join used using (f) group by n.f""",
+        ["importance"],
+        6,
+    )
+)
+def boosted_importances(spark, sf_dir):
+    """The squares that each feature's splits explain, as shares."""
+    return rounded(models.importances(_boosted(spark, sf_dir)), 6)
+
+
 _TWO = f"""{_ORDERS}, s as (select third::double as a, o_custkey::double as b, o_totalprice as y from t where split = 'train'),
 m as (select var_pop(a) as aa, var_pop(b) as bb, covar_pop(a, b) as ab, covar_pop(a, y) as ay, covar_pop(b, y) as yb,
       stddev_samp(a) as sa, stddev_samp(b) as sb from s)"""
