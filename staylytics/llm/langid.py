@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from staylytics.llm.common import column_type
@@ -135,7 +135,8 @@ def fit(
 
     ``sample_rows`` bounds the labelled rows used, an equal share for each language: each row is in with
     a probability by the hash of its id, so the number is that bound up to chance and reruns agree.
-    ``max_words`` and ``max_grams`` are the size of the model (most frequent first, ties by code point).
+    ``max_words`` and ``max_grams`` are the size of the model. Each language has an equal part of either, so that none crowds out one of
+    shorter texts; what a language cannot fill stays empty. Its most frequent entries come first, ties by code point.
     ``evidence``: words beyond this number are averaged down, so scores of long texts stay below 1.
     """
     rows = docs.where(labelled & F.col(lang_column).isNotNull() & F.col(text_column).isNotNull())
@@ -159,7 +160,10 @@ def fit(
     parts = counts.select("lang", "n", F.explode(every).alias("gram")).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
     def top(df: DataFrame, token: str, limit: int) -> tuple[list, dict[str, float]]:
-        kept = df.where("n > 1").orderBy(F.desc("n"), "lang", token).limit(limit).select("lang", token, "n")
+        # ranks of a bounded sample; each task hands on no more than a language's part
+        first = Window.partitionBy("lang").orderBy(F.desc("n"), token)
+        kept = df.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= max(1, limit // len(languages)))
+        kept = kept.orderBy(F.desc("n"), "lang", token).select("lang", token, "n")
         totals = {r[0]: float(r[1]) for r in df.groupBy("lang").agg(F.sum("n")).collect()}
         table = kept.toArrow()
         return list(zip(*[c.to_pylist() for c in table.columns], strict=True)), totals

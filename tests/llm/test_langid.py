@@ -60,3 +60,12 @@ def test_held_out_accuracy(spark, sf_dir):
 
     ids = pq.read_table(f"{sf_dir}/documents.parquet", columns=["doc_id"]).column(0).to_pylist()
     assert n == sum(zlib.crc32(str(i).encode()) % 3 == 1 for i in ids)
+
+
+def test_each_language_has_its_part_of_the_model(spark):
+    """A language of few and short texts keeps its words beside one of many, and words seen once count."""
+    texts = [" ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}big{k}x" for k in range(40)) for i in range(200)] + ["kuku momo"]
+    docs = docs_of(spark, texts, lang=["big"] * 200 + ["small"])
+    model = langid.fit(docs, F.lit(True), max_words=300, max_grams=300)
+    assert {"kuku", "momo"} <= set(model.word_rows) and len(model.word_rows) <= 300
+    assert model.predict("momo kuku")[0] == "small"
