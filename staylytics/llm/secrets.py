@@ -58,11 +58,17 @@ class Novelty:
         return len(self.compressor.compress(around + candidate.encode())) - len(self.compressor.compress(around))
 
     def spans(self, text: str, taken: list[Span]) -> list[Span]:
-        """Incompressible candidates in a sensitive context that touch no span already found."""
-        out = []
+        """Incompressible candidates in a sensitive context that touch no span already found (``taken``, in order of start).
+
+        Both lists are walked once, side by side: a candidate touches a span if one that starts before its end reaches beyond its start.
+        """
+        out, at, reached = [], 0, 0
         for m in _CANDIDATE.finditer(text):
             start, end = m.span()
-            if not _SENSITIVE.search(text, max(0, start - self.reach), start) or any(s < end and start < e for s, e, _ in taken):
+            while at < len(taken) and taken[at][0] < end:
+                reached = max(reached, taken[at][1])
+                at += 1
+            if reached > start or not _SENSITIVE.search(text, max(0, start - self.reach), start):
                 continue
             word = m.group()
             if not (any(c.isdigit() for c in word) and any(c.isalpha() for c in word)):
@@ -72,8 +78,12 @@ class Novelty:
         return out
 
 
-def identifier_dictionary(docs: DataFrame, text_column: str = "text", dictionary_bytes: int = 32_768) -> bytes:
-    """The most frequent identifiers of all texts, the most frequent last (nearest to what is compressed), up to a size."""
+def identifier_dictionary(docs: DataFrame, text_column: str = "text", dictionary_bytes: int = 32_768, longest: int = 256) -> bytes:
+    """The most frequent identifiers of all texts, the most frequent last (nearest to what is compressed), up to a size.
+
+    An identifier that no longer fits is passed over for shorter ones. Those of over ``longest`` characters are left out: one of them
+    would fill a good part of the dictionary, and what comes to the driver stays bounded.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out() -> pa.RecordBatch:
@@ -90,13 +100,13 @@ def identifier_dictionary(docs: DataFrame, text_column: str = "text", dictionary
 
     counts = docs.select(F.col(text_column)).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     # the shortest identifier has 3 bytes and a separator
-    best = counts.where("n > 1").orderBy(F.desc("n"), "word").limit(dictionary_bytes // 4).collect()
+    best = counts.where((F.col("n") > 1) & (F.length("word") <= longest)).orderBy(F.desc("n"), "word").limit(dictionary_bytes // 4).collect()
     words, size = [], 0
     for r in best:
-        size += len(r["word"].encode()) + 1
-        if size > dictionary_bytes:
-            break
-        words.append(r["word"])
+        own = len(r["word"].encode()) + 1
+        if size + own <= dictionary_bytes:
+            size += own
+            words.append(r["word"])
     return "\n".join(reversed(words)).encode()
 
 

@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 import string
+import time
 
 from helpers import docs_of
 
@@ -88,3 +89,27 @@ def test_clean_documents_get_no_spans(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     marked = secrets.scan(docs).where("exists(spans, s -> s.kind = 'novel')").count()
     assert marked <= 0.01 * docs.count()
+
+
+def test_a_long_identifier_leaves_room_for_others(spark):
+    texts = ["a_" + "b" * 40_000 + " short_name other.name x-" + "y" * 250] * 3
+    assert set(secrets.identifier_dictionary(docs_of(spark, texts)).split(b"\n")) == {b"short_name", b"other.name", b"x-" + b"y" * 250}
+    assert secrets.identifier_dictionary(docs_of(spark, texts), dictionary_bytes=25) == b"short_name\nother.name"
+
+
+def test_many_spans_and_candidates_are_walked_once():
+    rng = random.Random(9)
+    letters = string.ascii_letters + string.digits
+    parts = []
+    for _ in range(4000):
+        value = "".join(rng.choice(letters) for _ in range(30))
+        parts.append(rng.choice([f"password={value}", f"key {value}", f"secret {'0123456789abcdef' * 2}", f"auth {value[:25]}{'ab12' * 5} token: {value}"]))
+    text = " ".join(parts)
+    novelty, base = secrets.Novelty(b""), secrets.base_spans(text)
+    started = time.monotonic()
+    found = novelty.spans(text, base)
+    assert time.monotonic() - started < 5
+    assert len(found) > 500 and not any(s < end and start < e for start, end, _ in found[::50] for s, e, _ in base)
+    every = {m.span() for m in secrets._CANDIDATE.finditer(text) if not any(s < m.end() and m.start() < e for s, e, _ in base)}
+    assert {f[:2] for f in found} <= every
+    assert len(found) >= 0.9 * len(every)
