@@ -44,14 +44,22 @@ def spherical_kmeans(points: np.ndarray, cells: int, rounds: int = 8, seed: int
     return centers
 
 
-def homes_and_guests(points: np.ndarray, centers: np.ndarray, threshold: float) -> tuple[np.ndarray, list[list[int]]]:
-    """The home cell of each unit point, and the smaller cells in which it must be a guest."""
+def distances(centers: np.ndarray) -> np.ndarray:
+    """Distances between unit centroids, by their products: a square of numbers, whatever their dimension."""
+    return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (centers @ centers.T)))
+
+
+def homes_and_guests(points: np.ndarray, centers: np.ndarray, threshold: float, between: np.ndarray | None = None) -> tuple[np.ndarray, list[list[int]]]:
+    """The home cell of each unit point, and the smaller cells in which it must be a guest.
+
+    ``between`` holds the centroids' ``distances``. Rounding there is below 1e-7, which is allowed for, so no guest is missed.
+    """
+    between = distances(centers) if between is None else between
     dots = points @ centers.T
     home = dots.argmax(axis=1)
     reach = float(np.sqrt(max(0.0, 1 - threshold**2))) if threshold > 0 else 1.0
-    between = np.linalg.norm(centers[:, None, :] - centers[None, :, :], axis=2)
     margin = dots[np.arange(len(points)), home][:, None] - dots
-    near = margin <= reach * between[home] + 1e-9
+    near = margin <= reach * between[home] + 1e-7
     near &= np.arange(len(centers))[None, :] < home[:, None]
     return home, [np.flatnonzero(r).tolist() for r in near]
 
@@ -78,13 +86,14 @@ def _block_links(classes: DataFrame, cells: int, threshold: float, block: int, s
             centers = spherical_kmeans(unit(np.array(points, dtype=np.float64)), min(cells, len(points)))
 
     def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        between = distances(centers)
         for batch in batches:
             home, guests = np.zeros(batch.num_rows, dtype=np.int64), [[] for _ in range(batch.num_rows)]
             fits = np.flatnonzero(batch.column("width").to_numpy() == centers.shape[1])
             if len(fits) and len(centers) > 1:
                 vec = batch.column("vec").take(pa.array(fits))
                 points = unit(vec.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(fits), -1))
-                home[fits], found = homes_and_guests(points, centers, threshold)
+                home[fits], found = homes_and_guests(points, centers, threshold, between)
                 for at, cell in zip(fits, found, strict=True):
                     guests[at] = cell
             arrays = [*batch.columns, pa.array(home), pa.array(guests, pa.list_(pa.int64()))]

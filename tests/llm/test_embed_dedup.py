@@ -59,3 +59,11 @@ def test_every_close_pair_meets_in_one_cell():
     for i, j in zip(*np.nonzero(points @ points.T >= 0.93), strict=True):
         if home[i] < home[j]:
             assert home[i] in guests[j]
+
+
+def test_distances_of_many_wide_centroids():
+    rng = np.random.default_rng(4)
+    centers = embed_dedup.unit(rng.normal(size=(300, 768)))
+    centers[1] = centers[0]
+    plain = np.array([[np.linalg.norm(a - b) for b in centers[:20]] for a in centers[:20]])
+    assert np.abs(embed_dedup.distances(centers)[:20, :20] - plain).max() < 1e-7
