@@ -46,47 +46,56 @@ def targets(sizes: dict[str | None, int], weights: Sequence[float] = (3, 1, 2),
 def route(words: dict[Pattern, float], quotas: dict[str | None, float], repeats: int = 2) -> dict[Pattern, float]:
     """Words to take from each pattern: a maximum flow to the quotas of least repetition cost.
 
-    Successive shortest paths; pass ``k`` over a pattern costs ``k`` a word, so costs are convex.
+    Shortest paths first; pass ``k`` over a pattern costs ``k`` a word, so costs are convex. Only the first step of a path
+    costs anything, and no shortest path comes back to the start, so all paths of cost ``k`` are found before those of ``k + 1``. What a
+    pattern has left goes to its sources while they have room; where they have none, along a chain of sources, each of which passes on
+    words of a pattern that also counts for the next. A chain is searched over sources alone, of which there are few.
     """
-    patterns, sources = list(words), list(quotas)
-    first, sink = 1, 1 + len(patterns) + len(sources)
-    edges: list[list] = []  # from, to, room, cost; edge i ^ 1 is the way back
-
-    def join(a: int, b: int, room: float, cost: int) -> None:
-        edges.extend(([a, b, room, cost], [b, a, 0.0, -cost]))
-
-    place = {s: first + len(patterns) + i for i, s in enumerate(sources)}
-    for i, p in enumerate(patterns):
-        for k in range(repeats):
-            join(0, first + i, float(words[p]), k)
-        for s in p:
-            join(first + i, place[s], float("inf"), 0)
-    for s in sources:
-        join(place[s], sink, quotas[s], 0)
-    least = 1e-6 * max(1.0, sum(quotas.values())) / max(1, len(quotas))
-    while True:
-        cost, via = {0: 0}, {}
-        for _ in range(sink + 1):
-            moved = False
-            for i, (a, b, room, c) in enumerate(edges):
-                if room > least and a in cost and cost[a] + c < cost.get(b, 1 << 60):
-                    cost[b], via[b], moved = cost[a] + c, i, True
-            if not moved:
-                break
-        if sink not in cost:
-            break
-        path, at = [], sink
-        while at:
-            path.append(via[at])
-            at = edges[via[at]][0]
-        flow = min(edges[i][2] for i in path)
-        for i in path:
-            edges[i][2] -= flow
-            edges[i ^ 1][2] += flow
-    taken = dict.fromkeys(patterns, 0.0)
-    for a, b, room, _ in edges[1::2]:
-        if b == 0:
-            taken[patterns[a - first]] += room
+    room = {s: float(q) for s, q in quotas.items()}
+    least = 1e-6 * max(1.0, sum(room.values())) / max(1, len(room))
+    flows: dict[Pattern, dict[str | None, float]] = {p: {} for p in words}
+    movable: dict[str | None, dict[str | None, dict[Pattern, None]]] = {s: {} for s in room}  # source, next source, patterns that can pass words on
+    taken = dict.fromkeys(words, 0.0)
+
+    def give(p: Pattern, s: str | None, by: float) -> None:
+        flows[p][s] = flows[p].get(s, 0.0) + by
+        held = flows[p][s] > least
+        for t in p:
+            if t != s:
+                if held:
+                    movable[s].setdefault(t, {})[p] = None
+                else:
+                    movable[s].get(t, {}).pop(p, None)
+
+    def chain(p: Pattern) -> list[tuple[str | None, Pattern | None]]:
+        """Sources from one of the pattern's to one with room, each with the pattern whose words go on to it (none for the first)."""
+        via: dict[str | None, tuple[str | None, Pattern | None]] = {s: (s, None) for s in p}
+        queue = list(via)
+        for s in queue:
+            if room[s] > least:
+                out = []
+                while via[s][1] is not None:
+                    out.append((s, via[s][1]))
+                    s = via[s][0]
+                return [*out, (s, None)][::-1]
+            for t, carriers in movable[s].items():
+                if carriers and t not in via:
+                    via[t] = (s, next(iter(carriers)))
+                    queue.append(t)
+        return []
+
+    for _ in range(repeats):
+        for p, n in words.items():
+            left = float(n)
+            while left > least and (path := chain(p)):
+                by = min([left, room[path[-1][0]], *[flows[q][s] for (s, _), (_, q) in zip(path, path[1:])]])
+                for (s, _), (t, q) in zip(path, path[1:]):
+                    give(q, s, -by)
+                    give(q, t, by)
+                give(p, path[0][0], by)
+                room[path[-1][0]] -= by
+                taken[p] += by
+                left -= by
     return taken
 
 
@@ -94,8 +103,8 @@ def _size(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def _key(id_column: str, seed: int) -> Column:
-    return F.pmod(F.xxhash64(F.lit(seed), F.col(id_column)), F.lit(KEYS))
+def _key(id_column: str, text_column: str, seed: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(seed), F.col(id_column), F.col(text_column)), F.lit(KEYS))
 
 
 def _pattern(members: Column) -> Column:
@@ -120,15 +129,16 @@ def mix(
     or the size once for each time the document is in the mix (at most ``repeats``); ``source_size`` and ``target`` belong to the source column
     (null where no document counts for it). A text that is null or has no words has size 0 and takes nothing. A null source is one source, the last.
     Documents are never cut, so a source misses its target by less than its smallest document left out, or
-    by ``precise`` of the target. Rows with equal ids are taken together; the same table and seed
+    by ``precise`` of the target. Rows of equal id and text are taken together; the same table and seed
     give the same mix. An empty table gives an empty table.
     """
     own = F.array(F.col(source_column).cast("string")) if members is None else members
-    rows = docs.select(_key(id_column, seed).alias("key"), _size(F.col(text_column)).alias("size"), F.array_distinct(own).alias("members"))
+    rows = docs.select(_key(id_column, text_column, seed).alias("key"), _size(F.col(text_column)).alias("size"), F.array_distinct(own).alias("members"))
     rows = materialize(rows.withColumn("pattern", _pattern(F.col("members"))), "mix")
-    patterns = rows.groupBy("pattern").agg(F.first("members").alias("m"), F.sum("size").alias("words")).collect()
+    patterns = rows.groupBy("pattern").agg(F.first("members").alias("m"), F.sum("size").alias("words"))
+    patterns = patterns.limit(MAX_PATTERNS + 1).collect()
     if len(patterns) > MAX_PATTERNS:
-        raise ValueError(f"{len(patterns)} patterns of membership; the network is for at most {MAX_PATTERNS}")
+        raise ValueError(f"more than {MAX_PATTERNS} patterns of membership, which is as many as the network is for")
     words = {tuple(r["m"]): int(r["words"]) for r in patterns}
     sizes: dict[str | None, int] = {}
     for p, n in words.items():
@@ -151,7 +161,7 @@ def mix(
     out = docs.select(
         F.struct("*").alias("row"),
         _size(F.col(text_column)).alias("size"),
-        _key(id_column, seed).alias("key"),
+        _key(id_column, text_column, seed).alias("key"),
         _pattern(own).alias("pattern"),
         F.coalesce(source, F.lit("")).alias("name"),
         source.isNull().alias("none"),

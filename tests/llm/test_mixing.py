@@ -1,5 +1,7 @@
+import itertools
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -90,3 +92,52 @@ def test_cuts_are_exact(spark, sums):
             above = [k for h, k, _ in rows if h == g and k >= cut]
             if g < 3 and share < 1 and above:
                 assert sum(w for h, k, w in rows if h == g and k <= min(above)) > share * total[g]
+
+
+def best_by_search(words, quotas):
+    """(words placed, words placed as repetitions) of the best plan, by trying every whole number; patterns of one or two sources."""
+    ways = []
+    for p, n in words.items():
+        ways.append([[(p[0], x)] if len(p) == 1 else [(p[0], x), (p[1], y)] for x in range(2 * n + 1) for y in range(2 * n - x + 1 if len(p) > 1 else 1)])
+    best = (0, 0)
+    for plan in itertools.product(*ways):
+        got = Counter()
+        for parts in plan:
+            for s, x in parts:
+                got[s] += x
+        if all(got[s] <= quotas[s] for s in got):
+            repeated = sum(max(0, sum(x for _, x in parts) - n) for parts, n in zip(plan, words.values(), strict=True))
+            best = max(best, (sum(got.values()), -repeated))
+    return best
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.tuples(*[st.integers(0, 2)] * 3), st.tuples(*[st.integers(0, 6)] * 3))
+def test_flow_is_the_best_of_all_plans(sizes, room):
+    words = dict(zip([("a",), ("a", "b"), ("b", "c")], sizes, strict=True))
+    quotas = dict(zip("abc", room, strict=True))
+    got = mixing.route({p: float(n) for p, n in words.items()}, {s: float(q) for s, q in quotas.items()})
+    placed, repeated = best_by_search(words, quotas)
+    assert abs(sum(got.values()) - placed) < 1e-4 and abs(sum(max(0.0, got[p] - n) for p, n in words.items()) + repeated) < 1e-4
+
+
+def test_flow_over_many_patterns_is_quick():
+    rng = random.Random(5)
+    names = [f"s{i}" for i in range(20)]
+    words = {}
+    while len(words) < 10_000:
+        words[tuple(sorted(rng.sample(names, rng.randint(1, 8))))] = float(rng.randint(1, 1000))
+    fresh = sum(words.values())
+    started = time.monotonic()
+    got = mixing.route(words, {s: 1.2 * fresh / 20 for s in names})
+    assert time.monotonic() - started < 10
+    assert abs(sum(got.values()) - 1.2 * fresh) < 1e-3 * fresh and all(got[p] >= n - 1e-6 * fresh for p, n in words.items())
+
+
+def test_rows_without_ids_are_taken_one_by_one(spark):
+    texts = [f"word{i} is one of five" for i in range(900)]
+    docs = docs_of(spark, texts, source=["a"] * 600 + ["b"] * 300).withColumn("doc_id", F.when(F.col("doc_id") >= 600, F.col("doc_id")))
+    rows = mixing.mix(docs).select("row.source", "target", "taken").collect()
+    for s in "ab":
+        own = [r for r in rows if r["source"] == s]
+        assert 0 <= own[0]["target"] - sum(r["taken"] for r in own) <= 5
