@@ -93,7 +93,8 @@ def shard(
     ``size`` is the UTF-8 length of the text (null: 0) plus 16. Give the number of shards, or ``target_bytes``
     for as many shards of about that size as needed. ``slot`` numbers the rows of a shard from 0 without a gap.
     Rows of equal texts (null is a text of its own) go to one shard, unless they hold more than
-    ``group_share`` of a shard's bytes: such a group is dealt by id into parts of about that size. A
+    ``group_share`` of a shard's bytes: such a group is dealt into parts of about that size by id and a running number, written once
+    with the sizes, so rows without an id or of one id are dealt too. A
     row is never split, so a shard is off by a row or a part at most. Null ids, languages and
     sources are values like others; repeated rows stay. Other columns are not read. An empty table gives an empty table.
     """
@@ -105,6 +106,7 @@ def shard(
         F.xxhash64(F.col(text_column), F.col(text_column).isNull()).alias("text_key"),
         F.col(lang_column).cast("string").alias("lang"),
         F.col(source_column).cast("string").alias("source"),
+        F.monotonically_increasing_id().alias("number"),
     )
     rows = materialize(rows, "sizes")
     total, count = rows.agg(F.sum("size"), F.count("*")).first()
@@ -115,7 +117,7 @@ def shard(
     )
     groups = materialize(groups, "texts")
     own = rows.drop("lang", "source").join(groups, "text_key")
-    salt = F.pmod(F.xxhash64("text_key", "id"), F.col("parts"))
+    salt = F.pmod(F.xxhash64("text_key", "id", "number"), F.col("parts"))
     tie = F.pmod(F.xxhash64("text_key", salt), F.lit(CODES))
     codes = {
         "lang": F.pmod(F.xxhash64("lang"), F.lit(CODES)),
@@ -123,11 +125,11 @@ def shard(
         "size": (F.log2("size") * (1 << 24)).cast("long"),
     }
     keys = [(c * CODES + tie).alias(f"key_{d}") for d, c in codes.items()]
-    keyed = materialize(own.select("id", "size", "text_crc32", "text_key", *keys), "keyed")
+    keyed = materialize(own.select("id", "size", "text_crc32", "text_key", "number", *keys), "keyed")
     tree = build_tree(keyed, n, list(codes), slack=0.001 * (total or 0) / n)
 
     subs = max(8, math.ceil(count / (n * slot_rows)))
-    sub = F.pmod(F.xxhash64(F.lit("slot"), "text_key", "id"), F.lit(subs)).cast("int")
+    sub = F.pmod(F.xxhash64(F.lit("slot"), "text_key", "id", "number"), F.lit(subs)).cast("int")
     placed = keyed.select("id", "size", "text_crc32", _place(tree).cast("int").alias("shard"), sub.alias("sub"))
     counts = materialize(placed.groupBy("shard", "sub").agg(F.count("*").alias("n")), "counts")
     before = Window.partitionBy("shard").orderBy("sub").rowsBetween(Window.unboundedPreceding, -1)

@@ -2,6 +2,7 @@ import random
 import zlib
 
 from helpers import docs_of, sentence
+from pyspark.sql import functions as F
 
 from staylytics.llm import sharding
 
@@ -60,3 +61,17 @@ def test_one_text_of_all_rows_is_dealt_out(spark):
     rows = run(docs_of(spark, ["one and the same"] * 400), shards=8)
     counts = [sum(r["shard"] == s for r in rows) for s in range(8)]
     assert min(counts) > 25 and max(counts) < 80
+
+
+def test_copies_without_ids_or_of_one_id_are_dealt(spark):
+    """A third of the bytes each: one text without ids, one text of one id, and others."""
+    rng = random.Random(3)
+    texts = ["no id at all"] * 1500 + ["always the same"] * 1500 + [sentence(rng, rng.randint(3, 8)) for _ in range(900)]
+    ids = F.when(F.col("doc_id") < 1500, None).when(F.col("doc_id") < 3000, 7).otherwise(F.col("doc_id")).cast("long")
+    rows = run(docs_of(spark, texts, lang=["en"] * len(texts), source=["s"] * len(texts)).withColumn("doc_id", ids), shards=10)
+    assert len(rows) == len(texts)
+    gapless(rows)
+    sizes = [0] * 10
+    for r in rows:
+        sizes[r["shard"]] += r["size"]
+    assert max(sizes) - min(sizes) < 0.3 * sum(sizes) / 10
