@@ -96,17 +96,17 @@ def grids(df: DataFrame, features: Sequence[str], points: int = 100, lo: float =
     """The values at which each feature's curve is taken.
 
     A feature's own values where there are fewer than ``points``, else ``points`` even steps between two quantiles. Distinct values are
-    counted for all features in one scan, and listed in another one where they are few.
+    counted for all features in one scan, and listed in another one where they are few; the quantiles of all others take two scans.
     """
     rough = df.agg(*[F.approx_count_distinct(c).alias(f"c{i}") for i, c in enumerate(features)]).first()
     few = [c for i, c in enumerate(features) if rough[i] <= 2 * points]
     listed = df.agg(*[F.array_sort(F.collect_set(c)).alias(f"c{i}") for i, c in enumerate(few)]).first() if few else ()
     out = {c: list(listed[i]) for i, c in enumerate(few) if 0 < len(listed[i]) < points}
-    for c in features:
-        if c not in out:
-            ends = quantile_table(df, c, [lo, hi], (), exact, names=["lo", "hi"]).first()
-            low, high = float(ends["lo"]), float(ends["hi"])
-            out[c] = [low + (high - low) * i / (points - 1) for i in range(points)]
+    many = [c for c in features if c not in out]
+    ends = quantile_table(df, many, [lo, hi], (), exact).first() if many else ()
+    for k, c in enumerate(many):
+        low, high = ends[2 * k], ends[2 * k + 1]
+        out[c] = [low + (high - low) * i / (points - 1) for i in range(points)]
     return out
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staylytics import constants as K
-from staylytics.operators.quantiles import match_keys, quantile_table
+from staylytics.operators.quantiles import quantile_table
 
 METRICS = (
     "rmse",
@@ -108,13 +108,14 @@ def error_distribution(
         for m in preds
     ]
     long = wide.select(F.inline(F.array(*rows)))
-    base = long.groupBy("model").agg(
+    whole = [
         F.avg("abs_error").alias("avg_abs_error"),
         F.stddev_samp("error").alias("error_std"),
         F.max("abs_error").alias("max_error"),
-    )
+    ]
     names = ["median_error_pct", "p90_error_pct"]
-    return match_keys(base, quantile_table(long, "error_pct", [0.5, 0.9], ["model"], exact, accuracy, names), ["model"], "left")
+    found = quantile_table(long, "error_pct", [0.5, 0.9], ["model"], exact, accuracy, names, whole)
+    return found.select("model", "avg_abs_error", "error_std", "max_error", *names)
 
 
 def improvement(

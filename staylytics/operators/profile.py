@@ -73,11 +73,10 @@ def null_profile(df: DataFrame, top: int | None = 10) -> DataFrame:
 
 def target_summary(df: DataFrame, col: str, exact: bool = True, accuracy: int = 10_000) -> DataFrame:
     """Mean, sample deviation, range and quartiles of one column, as one row."""
-    q = quantile_table(df, col, [0.25, 0.5, 0.75], (), exact, accuracy, ["q1", "median", "q3"])
-    base = df.agg(
-        F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"), F.min(col).alias("min"), F.max(col).alias("max")
-    )
-    return base.withColumns({c: q.select(c).scalar() for c in q.columns})
+    whole = [F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"), F.min(col).alias("min"), F.max(col).alias("max")]
+    names = ["q1", "median", "q3"]
+    found = quantile_table(df, col, [0.25, 0.5, 0.75], (), exact, accuracy, names, whole)
+    return found.select("mean", "std", "min", "max", *names)
 
 
 def correlations(

@@ -6,8 +6,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from staylytics.operators import cleaning, combine, quantiles
+from staylytics.operators import cleaning, combine, evaluate, profile, quantiles
 from staylytics.plans import prepare
+from staylytics.sources import materialize
 from workload.adapters import listings
 
 
@@ -57,6 +58,48 @@ def test_a_missed_bracket_is_reported_not_guessed(spark, monkeypatch):
     assert len(widths) > 1
 
 
+def test_quantiles_of_several_columns_share_their_passes(spark):
+    """Side by side they equal those taken alone, with aggregates beside; the input is scanned twice."""
+    rows = [(i % 3, float(i * 37 % 101), None if i % 3 == 2 or i % 5 == 0 else i * 53 % 97) for i in range(3000)]
+    rows += [(None, None, 7), (None, 1.5, None), (9, None, None)]
+    df = materialize(spark.createDataFrame(rows, "g int, a double, b long"), "several")
+    probs = [0.1, 0.5, 0.9]
+    for by in ([], ["g"]):
+        both = quantiles.quantile_table(df, ["a", "b"], probs, by, extra=[F.count(F.lit(1)).alias("n"), F.max("a").alias("top")])
+        assert both.columns == [*by, "a_q0", "a_q1", "a_q2", "b_q0", "b_q1", "b_q2", "n", "top"]
+        found = {r["g"] if by else 0: r for r in both.collect()}
+        groups = {g: [r for r in rows if r[0] == g] for g in {r[0] for r in rows}} if by else {0: rows}
+        assert found.keys() == groups.keys()
+        for g, own in groups.items():
+            for c, at in (("a", 1), ("b", 2)):
+                values = [r[at] for r in own if r[at] is not None]
+                want = [float(disc(values, p)) if values else None for p in probs]
+                assert [found[g][f"{c}_q{i}"] for i in range(3)] == want
+            assert found[g]["n"] == len(own)
+    plain = quantiles.quantile_table(df, ["a", "b"], [0.5], ["g"])
+    assert {r["g"] for r in plain.collect()} == {0, 1, 2, None}
+    assert quantiles.quantile_table(df.limit(0), ["a", "b"], [0.5]).first()[0] is None
+    rough = quantiles.quantile_table(df, ["a", "b"], [0.5], ["g"], exact=False, extra=[F.count(F.lit(1)).alias("n")])
+    assert rough.columns == ["g", "a_q0", "b_q0", "n"] and rough.count() == 5
+
+
+@pytest.mark.parametrize("report", [
+    lambda d: profile.target_summary(d, "v"),
+    lambda d: evaluate.error_distribution(d, "v", {"m": "p", "n": "v"}),
+])
+def test_quantile_reports_scan_their_input_twice(spark, monkeypatch, report):
+    df = materialize(spark.range(2000).selectExpr("id % 71 + 1.0D as v", "id % 13 * 1.0D as p"), "input")
+    scans = []
+
+    def counting(staged, name="stage", partition_by=()):
+        scans.append(staged._jdf.queryExecution().optimizedPlan().toString().count("Relation [v#"))
+        return materialize(staged, name, partition_by)
+
+    monkeypatch.setattr(quantiles, "materialize", counting)
+    report(df).collect()
+    assert sum(scans) == 2
+
+
 def test_empty_input(spark):
     df = spark.createDataFrame([], "city string, v double")
     assert cleaning.iqr_filter(df, "v", ["city"]).count() == 0
