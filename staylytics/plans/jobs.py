@@ -1,7 +1,7 @@
 """Stages that read and write a folder of tables, as ``python -m staylytics`` runs them.
 
 Every stage reads what earlier stages wrote under ``out`` and overwrites its own
-tables, so a stage can be run again by itself.
+tables, so a stage can be run again by itself. A table is replaced only once its successor is whole.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from staylytics import constants as K
 from staylytics.operators import models, pricing, results
 from staylytics.operators.cleaning import keep_rate
 from staylytics.plans import explore, interpret, prepare, train
-from staylytics.sources import folders, read_sources, read_table, write_table
+from staylytics.sources import folders, read_sources, read_table, write_bucketed, write_table
 
 LOOKUP_SCHEMA = "city string, neighbourhood_cleansed string, lat double, lng double, n bigint, dist_km double"
 SEGMENT_SCHEMA = "city string, avg_price double"
@@ -58,6 +58,7 @@ def fit(spark: SparkSession, out: str, **gbt_params) -> None:
     base, gbt = train.baseline_features(df), train.gbt_features(df)
     rows = train.training_rows(df, [*base.all, *gbt.all])
     write_table(rows, f"{out}/training", partition_by=["split"])
+    write_table(train.features_table(spark, {"baseline": base, "gbt": gbt}), f"{out}/models/features")
     table = read_table(spark, f"{out}/training")
     linear, trees = train.train_baseline(table, base), train.train_gbt(table, gbt, **gbt_params)
     models.save(linear, f"{out}/models/baseline")
@@ -72,9 +73,12 @@ def fit(spark: SparkSession, out: str, **gbt_params) -> None:
     _write_report(ranked, f"{out}/models/gbt_importance")
 
 
-def evaluate(spark: SparkSession, out: str) -> None:
+def evaluate(spark: SparkSession, out: str, buckets: int | None = None) -> None:
+    """Score and compare. With ``buckets`` the scored rows are kept, hashed by id, to be joined with another run's."""
     fitted = {name: models.load(f"{out}/models/{name}") for name in ("baseline", "gbt")}
     scored = train.score_models(fitted, read_table(spark, f"{out}/training"))
+    if buckets:
+        scored = write_bucketed(scored, f"{out}/evaluation/scored", "id", buckets)
     reports = train.reports(scored)
     for name, report in reports.items():
         _write_report(report, f"{out}/evaluation/{name}")

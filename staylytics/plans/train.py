@@ -6,14 +6,15 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from staylytics import constants as K
 from staylytics.functions import band
 from staylytics.operators import evaluate, models, profile, results, selection
 from staylytics.operators.cleaning import quantile_trim
 from staylytics.operators.split import hash_split
-from staylytics.sources import materialize
+from staylytics.sources import literal_table, materialize
 
 PREDS = {"baseline": "baseline_pred", "gbt": "gbt_pred"}
 
@@ -28,33 +29,53 @@ class Features:
         return [*self.numeric, *self.categorical]
 
 
-def baseline_features(df: DataFrame, target: str = "price_clean", key: str = "id") -> Features:
-    """The numeric columns most correlated with the target, and every category column that passes the gate.
+def _learned(df: DataFrame, key: str) -> DataFrame:
+    """The training side of the shared split: test rows have no say in what is chosen."""
+    return hash_split(df, key).where("split = 'train'").drop("split")
 
-    Columns are ranked on the training side of the shared split only, so that test rows have no say in what is chosen.
-    """
+
+def baseline_features(df: DataFrame, target: str = "price_clean", key: str = "id") -> Features:
+    """The numeric columns most correlated with the target, and every category column that passes the gate, on training rows only."""
     names = selection.select_numeric(df, target, limit=None)
-    learned = hash_split(df, key).where("split = 'train'").drop("split")
-    ranking = materialize(profile.correlations(learned, target, names), "ranking")
-    chosen = Features(selection.select_numeric(df, target, ranking=ranking), selection.select_categorical(df, limit=None))
+    rows = _learned(df, key)
+    ranking = materialize(profile.correlations(rows, target, names), "ranking")
+    chosen = Features(selection.select_numeric(df, target, ranking=ranking), selection.select_categorical(rows, limit=None))
     selection.assert_no_leak(chosen.all)
     return chosen
 
 
-def explain_features(df: DataFrame) -> Features:
+def explain_features(df: DataFrame, key: str = "id") -> Features:
     """One list for both explained models, so that their importances rank the same features."""
     numeric = selection.select_preferred(df, banned=K.EXPLAIN_BANNED, min_n=0)
-    chosen = Features(numeric, selection.select_categorical(df, K.EXPLAIN_CATEGORICAL))
+    chosen = Features(numeric, selection.select_categorical(_learned(df, key), K.EXPLAIN_CATEGORICAL))
     selection.assert_no_leak(chosen.all)
     return chosen
 
 
-def gbt_features(df: DataFrame) -> Features:
-    chosen = Features(selection.select_preferred(df), selection.select_categorical(df, K.GBT_CATEGORICAL))
+def gbt_features(df: DataFrame, key: str = "id") -> Features:
+    chosen = Features(selection.select_preferred(df), selection.select_categorical(_learned(df, key), K.GBT_CATEGORICAL))
     selection.assert_no_leak(chosen.all)
     return chosen
 
 
+def features_table(spark: SparkSession, chosen: Mapping[str, Features]) -> DataFrame:
+    """What was chosen for each model, as a table to store beside the fitted models."""
+    rows = [
+        (model, kind, i, name)
+        for model, features in chosen.items()
+        for kind in ("numeric", "categorical")
+        for i, name in enumerate(getattr(features, kind))
+    ]
+    return literal_table(spark, rows, "model string, kind string, position int, feature string")
+
+
+def stored_features(table: DataFrame, model: str) -> Features:
+    """The features of one model out of a stored :func:`features_table`."""
+    rows = table.where(F.col("model") == model).orderBy("position").collect()
+    numeric, categorical = ([r["feature"] for r in rows if r["kind"] == kind] for kind in ("numeric", "categorical"))
+    return Features(numeric, categorical)
+
+
 def training_rows(
     df: DataFrame,
     columns: Sequence[str],
@@ -91,6 +112,17 @@ def score_models(fitted: Mapping[str, PipelineModel], table: DataFrame) -> DataF
     return materialize(models.score_all({f"{m}_pred": model for m, model in fitted.items()}, table), "scored")
 
 
+def compare_runs(before: DataFrame, after: DataFrame, pred: str = "gbt_pred", key: str = "id", actual: str = "price_clean") -> DataFrame:
+    """Rows that two runs scored, with both predictions and by how much the absolute error changed (negative is better).
+
+    Over two tables of ``write_bucketed`` with one number of buckets the join needs no shuffle.
+    """
+    old = before.select(key, F.col(pred).alias("before"))
+    both = after.select(key, actual, F.col(pred).alias("after")).join(old, key)
+    change = F.abs(F.col("after") - F.col(actual)) - F.abs(F.col("before") - F.col(actual))
+    return both.select(key, actual, "before", "after", change.alias("abs_error_change"))
+
+
 def reports(scored: DataFrame, actual: str = "price_clean", preds: Mapping[str, str] = PREDS) -> dict[str, DataFrame]:
     """Every comparison table over the scored test rows."""
     scored = scored.withColumn("price_range", band(actual, K.PRICE_BOUNDS, K.PRICE_RANGE_LABELS))

@@ -6,9 +6,11 @@ from staylytics.sources.tables import (
     folders,
     literal_table,
     path_exists,
+    read_bucketed,
     read_listings,
     read_sources,
     read_table,
+    write_bucketed,
     write_table,
 )
 
@@ -19,9 +21,11 @@ __all__ = [
     "literal_table",
     "materialize",
     "path_exists",
+    "read_bucketed",
     "read_listings",
     "read_sources",
     "read_table",
     "scratch_path",
+    "write_bucketed",
     "write_table",
 ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +29,38 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(jvm_path):
         raise FileNotFoundError(f"missing input: {path}")
-    return sorted(s.getPath().getName() for s in fs.listStatus(jvm_path) if s.isDirectory())
+    names = (s.getPath().getName() for s in fs.listStatus(jvm_path) if s.isDirectory())
+    return sorted(n for n in names if not n.startswith((".", "_")))
+
+
+def _beside(path: str, mark: str) -> str:
+    """A hidden folder beside ``path``: readers of the parent folder pass over it."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/.{name}-{mark}" if parent else f".{name}-{mark}"
+
+
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder; a target that exists is deleted first."""
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(new, True)
+    if not fs.rename(old, new):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    gone = spark._jvm.org.apache.hadoop.fs.Path(path)
+    gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+
+
+def _replace(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put the folder ``fresh`` in the place of ``path``. The old one is moved aside, so that one of the two always exists whole."""
+    old = _beside(path, "old")
+    if path_exists(spark, path):
+        _rename(spark, path, old)
+    _rename(spark, fresh, path)
+    _delete(spark, old)
+    spark.catalog.refreshByPath(path)
 
 
 def _present(spark: SparkSession, paths: Iterable[str], on_missing: str) -> list[str]:
@@ -82,8 +114,10 @@ def read_table(
 ) -> DataFrame:
     """Read the first of ``path`` that exists; with ``empty_schema`` an absent table is an empty one."""
     candidates = [path] if isinstance(path, str) else list(path)
-    for candidate in candidates:
-        if path_exists(spark, candidate):
+    for wanted in candidates:
+        # a job that died while it replaced a table left the old one beside
+        candidate = next((p for p in (wanted, _beside(wanted, "old")) if path_exists(spark, p)), None)
+        if candidate is not None:
             reader = spark.read
             if schema is not None:
                 reader = reader.schema(schema)
@@ -104,7 +138,11 @@ def write_table(
     max_records_per_file: int | None = None,
     rebalance: bool = False,
 ) -> None:
-    """Overwrite ``path``.
+    """Overwrite ``path``: write beside it, then switch folders.
+
+    A job that fails leaves the old table as it was, and ``df`` may read the table that it replaces. A DataFrame
+    built on the old files before must be read anew. The switch is two renames, so on a store where
+    renaming copies it takes time; a reader that meets the moment between them finds the old table beside (``read_table``).
 
     File count follows the plan's partitions; ``max_records_per_file`` bounds the
     size of each file without another shuffle. ``rebalance`` adds one, for
@@ -126,7 +164,49 @@ def write_table(
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    fresh = _beside(path, uuid.uuid4().hex)
+    try:
+        writer.save(fresh)
+    except Exception:
+        _delete(df.sparkSession, fresh)
+        raise
+    _replace(df.sparkSession, fresh, path)
+
+
+def write_bucketed(df: DataFrame, path: str, by: str, buckets: int) -> DataFrame:
+    """Overwrite ``path`` with a parquet table hashed by ``by`` into ``buckets`` sorted files, and return the scan of it.
+
+    Two such tables with the same number of buckets join and group by ``by`` without a shuffle. The one
+    shuffle is here. Choose ``buckets`` by the table's size (about 0.2 to 1 GB each). The layout is kept in the column's
+    metadata, so :func:`read_bucketed` needs the path only. A key with a large share of the rows makes one large file: use it for keys.
+    """
+    spark, fresh = df.sparkSession, _beside(path, uuid.uuid4().hex)
+    name = f"staylytics_{uuid.uuid4().hex}"
+    marked = df.withMetadata(by, {**df.schema[by].metadata, "buckets": buckets})
+    writer = marked.repartition(buckets, by).write.format("parquet").bucketBy(buckets, by).sortBy(by)
+    try:
+        writer.option("path", fresh).saveAsTable(name)
+    except Exception:
+        _delete(spark, fresh)
+        raise
+    finally:
+        spark.sql(f"drop table if exists {name}")
+    _replace(spark, fresh, path)
+    return read_bucketed(spark, path)
+
+
+def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
+    """The table that :func:`write_bucketed` wrote, with its layout known to the planner (an external table of this session)."""
+    schema = spark.read.parquet(path).schema
+    layout = [(f.name, f.metadata["buckets"]) for f in schema.fields if "buckets" in f.metadata]
+    if not layout:
+        raise ValueError(f"not a bucketed table: {path}")
+    (by, buckets), name = layout[0], f"staylytics_{uuid.uuid4().hex}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    where = path.replace("\\", "\\\\").replace("'", "\\'")
+    layout = f"clustered by (`{by}`) sorted by (`{by}`) into {buckets} buckets"
+    spark.sql(f"create table {name} ({columns}) using parquet {layout} location '{where}'")
+    return spark.table(name)
 
 
 def literal_table(spark: SparkSession, rows: Iterable[Sequence], schema: T.StructType | str) -> DataFrame:
