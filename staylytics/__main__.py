@@ -22,6 +22,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--requests", help="parquet table of quote requests")
     parser.add_argument("--depth", type=int, default=8, help="depth of the boosted trees")
     parser.add_argument("--iters", type=int, default=100, help="number of boosted trees")
+    parser.add_argument("--buckets", type=int, help="keep the scored rows in that many buckets by id, to join with another run's")
     parser.add_argument("--single-line", action="store_true", help="no field holds a line break: split large CSV files")
     args = parser.parse_args(argv)
 
@@ -32,7 +33,7 @@ def main(argv: list[str] | None = None) -> None:
         "lookup": lambda: jobs.lookup(spark, args.out),
         "profile": lambda: jobs.profile(spark, args.out),
         "fit": lambda: jobs.fit(spark, args.out, depth=args.depth, iters=args.iters),
-        "evaluate": lambda: jobs.evaluate(spark, args.out),
+        "evaluate": lambda: jobs.evaluate(spark, args.out, args.buckets),
         "explain": lambda: jobs.explain(spark, args.out, depth=args.depth, iters=args.iters),
         "quote": lambda: write_table(
             jobs.quote(spark, args.out, read_table(spark, args.requests)), f"{args.out}/quotes"
