@@ -18,16 +18,25 @@ from pyspark.sql import functions as F
 KEYS = 1 << 62
 
 
-def weighted_cuts(df: DataFrame, targets: Mapping[int, float], slack: float = 0.0, sums: int = 32_768, nearest: bool = False) -> dict[int, tuple[int, float]]:
+def weighted_cuts(
+    df: DataFrame,
+    targets: Mapping[int, float],
+    slack: float = 0.0,
+    sums: int = 32_768,
+    nearest: bool = False,
+    bounds: Mapping[int, tuple[int, int]] | None = None,
+) -> dict[int, tuple[int, float]]:
     """For each group of ``df`` (columns ``grp`` int, ``key`` long, ``weight``), (cut, weight of the keys below the cut).
 
     Groups are whole numbers from 0, few enough to list: their limits are looked up in arrays inside each scan, so nothing is joined.
 
     Of the possible cuts, one is taken that leaves less than ``slack`` to the target, or else the
     largest that does not exceed the target (with ``nearest``, the one on either side that is nearer). A group without rows gets (KEYS, 0).
+    ``bounds`` gives the least and the greatest key of groups where they are known: the search starts between them and takes fewer passes.
     """
-    low = {g: (0, 0.0) for g in targets}
-    high = {g: KEYS for g in targets}
+    bounds = bounds or {}
+    low = {g: (bounds[g][0] if g in bounds else 0, 0.0) for g in targets}
+    high = {g: bounds[g][1] + 1 if g in bounds else KEYS for g in targets}
     done: dict[int, tuple[int, float]] = {g: (0, 0.0) for g, t in targets.items() if t <= 0}
     while open_groups := [g for g in targets if g not in done]:
         bins = max(2, min(256, sums), sums // len(open_groups))

@@ -58,15 +58,17 @@ def build_tree(rows: DataFrame, shards: int, dims: list[str], slack: float) -> N
             return root
         if not spans:
             spans = {d: max(1, found[0][f"hi_{d}"] - found[0][f"lo_{d}"]) for d in dims}
-        targets, key = {}, F.lit(None).cast("long")
+        targets, bounds, key = {}, {}, F.lit(None).cast("long")
         for n in level:
             r = found.get(n.first)
             widths = [(r[f"hi_{d}"] - r[f"lo_{d}"]) / spans[d] if r else 0.0 for d in dims]
             n.dim = dims[widths.index(max(widths))]
+            if r:
+                bounds[n.first] = (r[f"lo_{n.dim}"], r[f"hi_{n.dim}"])
             targets[n.first] = (float(r["bytes"]) if r else 0.0) * (n.shards // 2) / n.shards
             key = F.when(F.col("grp") == n.first, F.col(f"key_{n.dim}")).otherwise(key)
         open_rows = rows.withColumn("grp", _place(root)).select("grp", key.alias("key"), F.col("size").alias("weight"))
-        cuts = weighted_cuts(open_rows.where("key is not null"), targets, slack, nearest=True)
+        cuts = weighted_cuts(open_rows.where("key is not null"), targets, slack, nearest=True, bounds=bounds)
         for n in level:
             n.cut = cuts[n.first][0]
             n.left = Node(n.first, n.shards // 2)
