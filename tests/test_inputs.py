@@ -1,9 +1,11 @@
 """Inputs made from the given tables: however they are laid out, the rows are the same."""
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from staylytics.operators import cleaning
+from staylytics.sources import materialize
 from workload import adapters
 
 
@@ -36,3 +38,14 @@ def test_copies_are_removed_where_they_are_made(spark, sf_dir):
     plan = cleaning.dedupe(adapters.dealt_scrapes(spark, sf_dir), ["city", "id"], ["name"])._jdf.queryExecution().executedPlan().toString()
     join = min(plan.index(j) for j in ("SortMergeJoin", "BroadcastHashJoin") if j in plan)
     assert "row_number()" in plan[:join] and "Exchange" not in plan[:join]
+
+
+def test_partitioned_tables_are_written_without_a_sort(spark, monkeypatch):
+    """A task holds a file open for each side; the session's setting comes back."""
+    seen, name = [], "spark.sql.maxConcurrentOutputFileWriters"
+    write, before = DataFrameWriter.parquet, spark.conf.get(name)
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda *a, **k: (seen.append(int(spark.conf.get(name))), write(*a, **k))[1])
+    rows = spark.range(0, 4000, 1, 4).withColumn("split", F.when(F.col("id") % 3 > 0, "train").otherwise("test"))
+    kept = materialize(rows, "sides", ["split"])
+    assert min(seen) >= 2 and spark.conf.get(name) == before
+    assert kept.exceptAll(rows).isEmpty() and rows.exceptAll(kept).isEmpty()
