@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from staylytics.llm import simhash
 from staylytics.llm.common import column_type, folded_words, utf8, whole_groups
 from staylytics.llm.components import components
+from staylytics.llm.decontam import few
 from staylytics.sources import materialize
 
 _SEED = 20
@@ -104,7 +105,8 @@ def similar(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> D
 
     pairs = materialize(pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
     needed = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-    sets = texts.join(materialize(needed, "compared"), "cls", "left_semi").dropDuplicates(["cls"]).select("cls", "text")
+    needed = few(materialize(needed, "compared"))  # so that only texts which are compared are shuffled
+    sets = texts.join(needed, "cls", "left_semi").dropDuplicates(["cls"]).select("cls", "text")
     sets = materialize(sets.mapInArrow(run, "cls binary, shingles array<long>"), "shingles")
     left, right = (sets.select(F.col("cls").alias(k), F.col("shingles").alias(f"s{k}")) for k in "ab")
     both = F.size(F.array_intersect("sa", "sb"))
@@ -131,14 +133,17 @@ def spanning_forest(similarity: np.ndarray, floor: int) -> list[tuple[int, int]]
     return out
 
 
-def proposed_again(buckets: DataFrame, roots: DataFrame, floor: int, rest_block: int, block: int) -> DataFrame:
-    """Pairs (a, b) from buckets (columns bucket, cls, sketch) whose members lie in several connected parts."""
-    placed = buckets.join(roots, "cls", "left").select("bucket", "cls", "sketch", F.coalesce("root", "cls").alias("root"))
+def proposed_again(buckets: DataFrame, sketches: DataFrame, roots: DataFrame, floor: int, rest_block: int, block: int) -> DataFrame:
+    """Pairs (a, b) from buckets (columns bucket, cls) whose members lie in several connected parts.
+
+    Sketches (columns cls, sketch) are fetched for the members of those buckets only.
+    """
+    placed = buckets.join(roots, "cls", "left").select("bucket", "cls", F.coalesce("root", "cls").alias("root"))
     parts = placed.groupBy("bucket", "root").agg(F.count("*").alias("k"))
     largest = F.max(F.struct("k", "root")).alias("most")
     sizes = parts.groupBy("bucket").agg(F.sum("k").alias("n"), largest).where("n > most.k")
     sizes = materialize(sizes.select("bucket", "n", (F.col("n") - F.col("most.k")).alias("rest"), F.col("most.root").alias("main")), "unsettled")
-    rows = placed.join(sizes, "bucket")
+    rows = materialize(placed.join(sizes, "bucket"), "members").join(sketches, "cls")
     many, few = F.ceil(F.col("n") / block).cast("int"), F.ceil(F.col("rest") / rest_block).cast("int")
     own = F.expr("pmod(xxhash64(cls, bucket), 2147483647)")
     keep = ["bucket", "cls", "root", "sketch"]
@@ -196,7 +201,7 @@ def near_duplicates(
     stars = near.join(ends[0], "a").join(ends[1], "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
     same = classes.select("fp", F.col("cls").alias("b")).join(prints.withColumnRenamed("cls", "a"), "fp").select("a", "b")
 
-    buckets = classes.select("cls", "sketch", F.explode("bands").alias("bucket"))
+    buckets = classes.select("cls", F.explode("bands").alias("bucket"))
     sums = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min("cls").alias("lo"))
     shared = materialize(sums.where("n > 1"), "buckets")
     banded = buckets.select("bucket", F.col("cls").alias("b")).join(shared.select("bucket", F.col("lo").alias("a")), "bucket").select("a", "b")
@@ -205,7 +210,7 @@ def near_duplicates(
     links = materialize(similar(stars.union(same).union(banded), texts, shingle, least), "links")
     roots = materialize(components(links).select(F.col("node").alias("cls"), F.col("component").alias("root")), "roots")
     crowded = buckets.join(shared.where("n > 2").select("bucket"), "bucket", "left_semi")
-    more = proposed_again(crowded, roots, int(bands * rows * (least - 0.15)), rest_block, block)
+    more = proposed_again(crowded, classes.select("cls", "sketch"), roots, int(bands * rows * (least - 0.15)), rest_block, block)
     links = links.union(materialize(similar(more, texts, shingle, least), "links"))
 
     found = components(links).select(F.col("node").alias("cls"), F.col("component").alias("root"))

@@ -81,3 +81,23 @@ def test_null_and_repeated_ids_and_empty_tables(spark, id_type):
     got = [tuple(r) for r in near_copies.near_duplicates(df).collect()]
     assert sorted(got, key=repr) == sorted([(None, two), (two, two), (two, two), (None, None), (None, None)], key=repr)
     assert near_copies.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_only_compared_texts_are_shuffled(spark, monkeypatch):
+    """However low the planner's limit, the digests that are compared go to the texts: not all texts to the digests."""
+    plans, write = {}, near_copies.materialize
+
+    def spy(df, name, *args):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name, *args)
+
+    monkeypatch.setattr(near_copies, "materialize", spy)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words), " ".join([*words[:59], "x"]), "other words of no concern to anyone here"]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert len(set(solve(spark, texts).values())) == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plans["shingles"] and "SortMergeJoin" not in plans["shingles"]
