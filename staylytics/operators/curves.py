@@ -9,6 +9,7 @@ attributions use. A task adds up its leaves by feature and code and hands on the
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from math import prod
 
 import numpy as np
 import pandas as pd
@@ -17,7 +18,7 @@ from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylytics.operators.explain import Lookup, coded_rows, encode, leaves_of, lookup, patterns
+from staylytics.operators.explain import Lookup, cells, coded_rows, encode, leaves_of, lookup
 from staylytics.operators.models import feature_names
 from staylytics.operators.quantiles import quantile_table
 from staylytics.sources.staging import materialize
@@ -32,16 +33,19 @@ def curve_sums(x: np.ndarray, ready: Lookup, slots: Sequence[int]) -> dict[int,
     every = {f: np.zeros(t.shape[0]) for f, t in ready.tests.items() if f in slots}  # outputs of rows that pass that one too
     codes = coded_rows(x, ready)
     constant = ready.constant * len(x)
-    for group in ready.groups:
-        m = group.features.shape[1]
-        full = (1 << m) - 1
-        for features, numbers, output in zip(group.features.tolist(), group.numbers.tolist(), group.output.tolist()):
-            passed = np.bincount(patterns(features, numbers, ready, codes), minlength=1 << m)
-            constant += output * passed[full]
-            for i, f in enumerate(features):
+    for unit in ready.units:
+        rows = np.bincount(cells(unit, codes), minlength=prod(unit.shape)).reshape(unit.shape)
+        for leaf, pattern in zip(unit.leaves, unit.patterns):
+            m = len(leaf.axes)
+            full = (1 << m) - 1
+            own = rows.sum(axis=tuple(i for i in range(rows.ndim) if i not in leaf.axes), keepdims=True)
+            passed = np.bincount(pattern.ravel(), weights=own.ravel(), minlength=1 << m)
+            constant += leaf.output * passed[full]
+            for i, (axis, test) in enumerate(zip(leaf.axes, leaf.numbers)):
+                f = unit.features[axis]
                 if f in reached:
-                    reached[f][numbers[i]] += output * (passed[full] + passed[full ^ (1 << i)])
-                    every[f][numbers[i]] += output * passed[full]
+                    reached[f][test] += leaf.output * (passed[full] + passed[full ^ (1 << i)])
+                    every[f][test] += leaf.output * passed[full]
     out = {f: np.full(1, constant) for f in slots}
     for f, sums in reached.items():
         out[f] = constant - every[f].sum() + sums @ ready.tests[f]

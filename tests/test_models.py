@@ -231,6 +231,22 @@ def test_tiles_of_any_size_give_the_same_attributions(table, fitted, monkeypatch
     assert rows() == want
 
 
+def test_leaves_that_share_tests_are_looked_up_together(spark, table, fitted, monkeypatch):
+    """Rows are read once for a unit of leaves, not for each leaf, and one leaf a unit gives the same."""
+    leaves = explain.leaves_of(spark, fitted[1])
+    rng = np.random.default_rng(3)
+    x = np.column_stack([rng.integers(0, 8, 200), rng.random(200) * 11, rng.integers(0, 4, 200)]).astype(float)
+    together = explain.lookup(leaves)
+    assert sum(len(u.leaves) for u in together.units) == len(leaves) > 3 * len(together.units)
+    assert all(math.prod(u.shape) <= explain._UNIT_CELLS for u in together.units)
+    monkeypatch.setattr(explain, "_UNIT_CELLS", 1)
+    apart = explain.lookup(leaves)
+    assert len(apart.units) == len(leaves)
+    assert explain._attribute(x, together) == pytest.approx(explain._attribute(x, apart), rel=1e-9, abs=1e-9)
+    a, b = (curves.curve_sums(x, ready, [0, 1, 2]) for ready in (together, apart))
+    assert all(a[f] == pytest.approx(b[f], rel=1e-9) for f in a)
+
+
 def test_importance_ranks_share_ties(spark):
     a = spark.createDataFrame([("x", 3.0), ("y", 1.0), ("z", 1.0)], "feature string, importance double")
     b = spark.createDataFrame([("x", 1.0), ("y", 2.0), ("z", 3.0)], "feature string, importance double")
