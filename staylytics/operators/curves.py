@@ -18,7 +18,7 @@ from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylytics.operators.explain import Lookup, cells, coded_rows, encode, leaves_of, lookup
+from staylytics.operators.explain import Lookup, cells, coded_rows, encode, leaves_of, lookup, patterns
 from staylytics.operators.models import feature_names
 from staylytics.operators.quantiles import quantile_table
 from staylytics.sources.staging import materialize
@@ -35,17 +35,18 @@ def curve_sums(x: np.ndarray, ready: Lookup, slots: Sequence[int]) -> dict[int,
     constant = ready.constant * len(x)
     for unit in ready.units:
         rows = np.bincount(cells(unit, codes), minlength=prod(unit.shape)).reshape(unit.shape)
-        for leaf, pattern in zip(unit.leaves, unit.patterns):
-            m = len(leaf.axes)
+        for output, part, m, pattern in zip(unit.output.tolist(), unit.parts(), unit.sizes, patterns(unit, ready)):
+            tests = unit.tests[part].tolist()
             full = (1 << m) - 1
-            own = rows.sum(axis=tuple(i for i in range(rows.ndim) if i not in leaf.axes), keepdims=True)
+            tested = {axis for axis, _ in tests}
+            own = rows.sum(axis=tuple(i for i in range(rows.ndim) if i not in tested), keepdims=True)
             passed = np.bincount(pattern.ravel(), weights=own.ravel(), minlength=1 << m)
-            constant += leaf.output * passed[full]
-            for i, (axis, test) in enumerate(zip(leaf.axes, leaf.numbers)):
+            constant += output * passed[full]
+            for i, (axis, test) in enumerate(tests):
                 f = unit.features[axis]
                 if f in reached:
-                    reached[f][test] += leaf.output * (passed[full] + passed[full ^ (1 << i)])
-                    every[f][test] += leaf.output * passed[full]
+                    reached[f][test] += output * (passed[full] + passed[full ^ (1 << i)])
+                    every[f][test] += output * passed[full]
     out = {f: np.full(1, constant) for f in slots}
     for f, sums in reached.items():
         out[f] = constant - every[f].sum() + sums @ ready.tests[f]

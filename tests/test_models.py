@@ -237,7 +237,7 @@ def test_leaves_that_share_tests_are_looked_up_together(spark, table, fitted, mo
     rng = np.random.default_rng(3)
     x = np.column_stack([rng.integers(0, 8, 200), rng.random(200) * 11, rng.integers(0, 4, 200)]).astype(float)
     together = explain.lookup(leaves)
-    assert sum(len(u.leaves) for u in together.units) == len(leaves) > 3 * len(together.units)
+    assert sum(len(u.sizes) for u in together.units) == len(leaves) > 3 * len(together.units)
     assert all(math.prod(u.shape) <= explain._UNIT_CELLS for u in together.units)
     monkeypatch.setattr(explain, "_UNIT_CELLS", 1)
     apart = explain.lookup(leaves)
