@@ -247,6 +247,19 @@ def test_leaves_that_share_tests_are_looked_up_together(spark, table, fitted, mo
     assert all(a[f] == pytest.approx(b[f], rel=1e-9) for f in a)
 
 
+def test_rows_are_looked_up_in_parts_of_a_tile(spark, fitted, monkeypatch):
+    """Contributions of units are added up once for a tile, whatever the parts of rows and units that are looked up at a time."""
+    ready = explain.lookup(explain.leaves_of(spark, fitted[1]))
+    rng = np.random.default_rng(4)
+    x = np.column_stack([rng.integers(0, 8, 100), rng.random(100) * 11, rng.integers(0, 4, 100)]).astype(float)
+    want, made, of_unit = explain._attribute(x, ready), [], explain._unit_shares
+    monkeypatch.setattr(explain, "_PART_ROWS", 7)
+    monkeypatch.setattr(explain, "_PART_UNITS", 2)
+    monkeypatch.setattr(explain, "_unit_shares", lambda unit, ready: (made.append(unit), of_unit(unit, ready))[1])
+    assert explain._attribute(x, ready) == pytest.approx(want, rel=1e-12, abs=1e-12)
+    assert len(made) == len(ready.units)
+
+
 def test_importance_ranks_share_ties(spark):
     a = spark.createDataFrame([("x", 3.0), ("y", 1.0), ("z", 1.0)], "feature string, importance double")
     b = spark.createDataFrame([("x", 1.0), ("y", 2.0), ("z", 3.0)], "feature string, importance double")
