@@ -66,7 +66,9 @@ def test_numbers_are_those_of_rand(spark):
 
 def test_thresholds_come_from_the_same_sample(spark, rows, tmp_path):
     """Beyond 10,000 rows thresholds are learned from a sample."""
-    many = rows.join(spark.range(8).toDF("copy")).withColumn("many", F.col("many") + F.col("copy") / 8).where("many % 7 > 1 or many < 900").localCheckpoint()
+    other = {c: F.pmod(F.xxhash64("id", "copy", F.lit(c)), F.lit(20000)).cast("double") for c in ("many", "signed", "again")}
+    many = rows.join(spark.range(8).toDF("copy")).withColumns(other).withColumn("price_clean", F.col("price_clean") + F.col("many") / 99 + F.col("again") / 187)
+    many = many.localCheckpoint()
     plain, own, _ = _both(many, depth=4, iters=2)
     want, got = _nodes(spark, plain, str(tmp_path / "plain")), _nodes(spark, own, str(tmp_path / "own"))
     assert [(a.id, a.split, a.rawCount) for a in want] == [(b.id, b.split, b.rawCount) for b in got]
